@@ -85,8 +85,9 @@ def partition_summary(df: DataFrame) -> DataFrame:
     """Rows per year and month with a period label, and the grand total in a last row without a year."""
     month_start = F.make_date(F.col("year"), F.col("month"), F.lit(1))
     counted = (
-        df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
-        .groupingSets([["year", "month", "rows"], []], "year", "month", "rows")
+        df.groupBy("year", "month")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupingSets([["year", "month"], []], "year", "month")
         .agg(F.sum("rows").alias("n"), F.grouping("year").alias("is_total"))
     )
     label = F.when(F.col("is_total") == 1, F.lit("Total")).otherwise(period_label(month_start))
