@@ -168,24 +168,25 @@ FROM ga_events WHERE event_name = 'purchase' GROUP BY event_date"""
 @query(
     "daily_revenue",
     "ga_events",
-    f"SELECT event_date, transactions, round(revenue, 4) AS revenue, round(aov, 4) AS avg_order_value FROM ({_DAILY}) d",
+    f"SELECT event_date, transactions, round(revenue, 4) AS revenue, round(aov, 8) AS avg_order_value FROM ({_DAILY}) d",
 )
 def daily_revenue(t: Tables) -> DataFrame:
-    return rounded(revenue.daily_revenue(t.events()), 4, "revenue", "avg_order_value")
+    return rounded(rounded(revenue.daily_revenue(t.events()), 4, "revenue"), 8, "avg_order_value")
 
 
-_ROLLING = f"""SELECT event_date, transactions, round(revenue, 4) AS revenue, round(aov, 4) AS aov, unique_buyers,
-  round(avg(revenue) OVER (ORDER BY event_date %s BETWEEN %s AND CURRENT ROW), 4) AS revenue_7day FROM ({_DAILY}) d"""
+_ROLLING = f"""SELECT event_date, transactions, round(revenue, 4) AS revenue, round(aov, 8) AS aov, unique_buyers,
+  round(avg(revenue) OVER (ORDER BY event_date %s BETWEEN %s AND CURRENT ROW), 8) AS revenue_7day FROM ({_DAILY}) d"""
 
 
 @query("daily_revenue_7day", "ga_events", _ROLLING % ("ROWS", "6 PRECEDING"))
 def daily_revenue_7day(t: Tables) -> DataFrame:
-    return rounded(revenue.daily_revenue_7day(t.events()), 4, "revenue", "aov", "revenue_7day")
+    return rounded(rounded(revenue.daily_revenue_7day(t.events()), 4, "revenue"), 8, "aov", "revenue_7day")
 
 
 @query("daily_revenue_7days_calendar", "ga_events", _ROLLING % ("RANGE", "INTERVAL 6 DAY PRECEDING"))
 def daily_revenue_7days_calendar(t: Tables) -> DataFrame:
-    return rounded(revenue.daily_revenue_7day(t.events(), calendar=True), 4, "revenue", "aov", "revenue_7day")
+    daily = revenue.daily_revenue_7day(t.events(), calendar=True)
+    return rounded(rounded(daily, 4, "revenue"), 8, "aov", "revenue_7day")
 
 
 @query("purchase_by_day", "ga_events", f"SELECT event_date, round(revenue, 4) AS revenue, transactions AS n FROM ({_DAILY}) d")
@@ -228,10 +229,10 @@ def funnel_stages(t: Tables) -> DataFrame:
     "ga_items",
     """SELECT item_category, item_name, CAST(sum(quantity) AS bigint) AS units_sold,
   round(sum(item_revenue_in_usd), 4) AS revenue, count(DISTINCT event_timestamp) AS transactions,
-  round(avg(price_in_usd), 4) AS avg_price FROM ga_items WHERE item_name IS NOT NULL GROUP BY 1, 2""",
+  round(avg(price_in_usd), 8) AS avg_price FROM ga_items WHERE item_name IS NOT NULL GROUP BY 1, 2""",
 )
 def product_performance(t: Tables) -> DataFrame:
-    return rounded(products.product_performance(t.items()), 4, "revenue", "avg_price")
+    return rounded(rounded(products.product_performance(t.items()), 4, "revenue"), 8, "avg_price")
 
 
 @query(
@@ -262,8 +263,8 @@ def top_items_in_category(t: Tables) -> DataFrame:
     "numbered ga_events",
     """SELECT user_type, count(*) AS total_users, count(purchases) AS buyers,
   CAST(count(purchases) AS double) / count(*) AS cvr, round(sum(coalesce(revenue, 0)), 2) AS total_revenue,
-  round(avg(coalesce(revenue, 0)), 4) AS avg_revenue, CAST(sum(sessions) AS bigint) AS total_sessions,
-  round(avg(sessions), 6) AS avg_sessions
+  round(avg(coalesce(revenue, 0)), 8) AS avg_revenue, CAST(sum(sessions) AS bigint) AS total_sessions,
+  round(avg(sessions), 8) AS avg_sessions
 FROM (SELECT user_pseudo_id, CASE WHEN session_number = 1 THEN 'New User' ELSE 'Returning User' END AS user_type,
         count(DISTINCT session_number) AS sessions FROM numbered GROUP BY 1, 2) u
 LEFT JOIN (SELECT user_pseudo_id, count(*) AS purchases, sum(ecommerce_purchase_revenue_in_usd) AS revenue
@@ -272,7 +273,7 @@ GROUP BY 1""",
 )
 def user_segments(t: Tables) -> DataFrame:
     segments = users.user_segments(t.session_numbers(), t.events())
-    return rounded(rounded(rounded(segments, 2, "total_revenue"), 4, "avg_revenue"), 6, "avg_sessions")
+    return rounded(rounded(segments, 2, "total_revenue"), 8, "avg_revenue", "avg_sessions")
 
 
 _SALES = "SELECT %s, round(sum(sales), 2) AS %s FROM sales %s GROUP BY 1"
@@ -294,10 +295,10 @@ def sales_by_year(t: Tables) -> DataFrame:
 
 
 @query(
-    "electronics_avg_price", "sales", "SELECT round(avg(sales), 4) AS avg_price FROM sales WHERE category = '1-URGENT'"
+    "electronics_avg_price", "sales", "SELECT round(avg(sales), 6) AS avg_price FROM sales WHERE category = '1-URGENT'"
 )
 def electronics_avg_price(t: Tables) -> DataFrame:
-    return rounded(sales.average_price(t.sales(), "1-URGENT"), 4, "avg_price")
+    return rounded(sales.average_price(t.sales(), "1-URGENT"), 6, "avg_price")
 
 
 _BY_YEAR = "SELECT CheckoutYear, CAST(sum(Checkouts) AS bigint) AS checkouts FROM checkouts %s GROUP BY 1"
