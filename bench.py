@@ -19,7 +19,7 @@ from eventloom.plans import checkouts
 from eventloom.sources import read_csv, read_parquet, read_partitioned
 from eventloom.suite import QUERIES
 from eventloom.suite.files import CHECKOUT_SCHEMA
-from eventloom.suite.registry import file_copy
+from eventloom.suite.registry import CHECKOUT_COPY_SCHEMA as COPY_SCHEMA, file_copy
 
 HEADLINE = [
     "event_overview", "event_counts", "top_events", "daily_events", "event_date_users", "monthly_event_summary",
@@ -36,8 +36,8 @@ def layouts(t: Tables) -> dict:
     """The checkout queries on each file layout."""
     files = {
         "csv": lambda: read_csv(t.spark, file_copy(t, "checkouts_csv"), CHECKOUT_SCHEMA),
-        "parquet": lambda: read_parquet(t.spark, file_copy(t, "checkouts_parquet")),
-        "partitioned": lambda: read_partitioned(t.spark, file_copy(t, "checkouts_by_year")),
+        "parquet": lambda: read_parquet(t.spark, file_copy(t, "checkouts_parquet"), schema=COPY_SCHEMA),
+        "partitioned": lambda: read_partitioned(t.spark, file_copy(t, "checkouts_by_year"), COPY_SCHEMA),
     }
     jobs = {
         "book_suffix": lambda df: checkouts.checkouts_by_year(df, suffix="BOOK"),

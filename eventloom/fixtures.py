@@ -5,11 +5,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
-from eventloom.functions.text import FRAGMENT_PATTERN, HOST_PATTERN, QUERY_PATTERN, remove_all
-from eventloom.operators.sessions import number_sessions
+from eventloom.session import fit_to_input, size_in_bytes
+from eventloom.functions.text import HOST_PATTERN, before, remove_all
+from eventloom.operators.sessions import number_sessions, session_activity
 
 # Fixed values of the mapping.
 DEVICES = ("desktop", "mobile", "tablet")
@@ -54,6 +55,9 @@ def _micros() -> Column:
     return F.unix_micros(F.col("ts").cast("timestamp"))
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 class Tables:
     """Logical tables over one data folder."""
 
@@ -61,7 +65,14 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One given table. Its schema is looked up in the files once per session."""
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            table = self.spark.read.parquet(path)
+            fit_to_input(self.spark, size_in_bytes(table))
+            _SCHEMAS[key] = table.schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def events(self) -> DataFrame:
         """Flat events with a typed date and the time as a timestamp."""
@@ -77,12 +88,13 @@ class Tables:
 
     def sessions(self) -> DataFrame:
         """One row per user and day."""
-        return self.base("events").select(
+        user_days = self.base("events").select("user_id", F.col("ts").cast("date").alias("event_date")).distinct()
+        return user_days.select(
             F.col("user_id").alias("user_pseudo_id"),
-            F.col("ts").cast("date").alias("event_date"),
+            "event_date",
             _device().alias("device_category"),
             _medium().alias("traffic_source_medium"),
-        ).distinct()
+        )
 
     def timed_events(self) -> DataFrame:
         """Events with the microsecond timestamp the session operators work on."""
@@ -124,6 +136,15 @@ class Tables:
             F.col("session_number").cast("string").alias("param_value"),
         )
 
+    def session_start_numbers(self) -> DataFrame:
+        """Parameter rows holding the session number, one per session."""
+        sessions = session_activity(self.timed_events().select("user_pseudo_id", "event_timestamp"))
+        return sessions.select(
+            "user_pseudo_id",
+            F.lit("ga_session_number").alias("key"),
+            F.col("session_number").cast("string").alias("param_value"),
+        )
+
     def items(self) -> DataFrame:
         lines = self.base("lineitem").join(self.base("part"), F.col("l_partkey") == F.col("p_partkey"))
         return lines.select(
@@ -138,8 +159,7 @@ class Tables:
 
     def page_categories(self) -> DataFrame:
         """Lookup from path to category. Paths of one language are missing; a path may have two categories."""
-        path = remove_all(F.col("url"), HOST_PATTERN)
-        path = remove_all(remove_all(path, QUERY_PATTERN), FRAGMENT_PATTERN)
+        path = before(before(remove_all(F.col("url"), HOST_PATTERN), "?"), "#")
         category = F.when(F.col("url").startswith("https"), "Secure").otherwise("Plain")
         listed = self.base("pages").where(~F.col("url").contains("/es/"))
         return listed.select(path.alias("page_path"), category.alias("category")).distinct()

@@ -53,16 +53,13 @@ def channel_group(medium: Column) -> Column:
 
 
 def page_section(path: Column) -> Column:
-    """Site section of a page path.
-
-    In ``^/basket|/cart`` the anchor belongs to the first alternative only: ``/cart`` matches anywhere.
-    """
+    """Site section of a page path; the first matching rule wins. ``/store`` and ``/cart`` count anywhere in it."""
     return (
         F.when(path == "/", F.lit("Home"))
-        .when(path.rlike(r"^/google\+re|/store"), F.lit("Store"))
-        .when(path.rlike("^/product"), F.lit("Products"))
-        .when(path.rlike("^/basket|/cart"), F.lit("Cart"))
-        .when(path.rlike("^/checkout"), F.lit("Checkout"))
+        .when(path.startswith("/google+re") | path.contains("/store"), F.lit("Store"))
+        .when(path.startswith("/product"), F.lit("Products"))
+        .when(path.startswith("/basket") | path.contains("/cart"), F.lit("Cart"))
+        .when(path.startswith("/checkout"), F.lit("Checkout"))
         .otherwise(F.lit("Other"))
     )
 

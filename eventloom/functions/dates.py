@@ -8,8 +8,15 @@ DAY_FORMAT = "yyyyMMdd"
 
 
 def parse_day(text: Column) -> Column:
-    """YYYYMMDD text to a date; NULL when it is not exactly eight digits forming a date."""
-    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, DAY_FORMAT))
+    """YYYYMMDD text to a date; NULL when it is not exactly eight digits forming a date.
+
+    Integer arithmetic instead of a pattern and a date format, which cost far more per row.
+    """
+    digits = F.when(F.length(text) == 8, text.try_cast("int"))
+    year, month, day = F.floor(digits / 10_000), F.floor(digits / 100) % 100, digits % 100
+    valid = (digits >= 10_000_000) & month.between(1, 12) & (day >= 1)
+    date = F.date_add(F.when(valid, F.make_date(year.cast("int"), month.cast("int"), F.lit(1))), day - 1)
+    return F.when(F.month(date) == month, date)
 
 
 def day_suffix(day: Column) -> Column:

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The URL patterns of the page analyses.
+# The host patterns of the page analyses.
 HOST_PATTERN = r"^https?://[^/]+"
 UNANCHORED_HOST_PATTERN = r"https?://[^/]+"
-QUERY_PATTERN = r"\?.*$"
-FRAGMENT_PATTERN = r"#.*$"
 
 
 def remove_all(text: Column, pattern: str) -> Column:
@@ -21,22 +19,25 @@ def remove_first(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, f"(?s)^(.*?)(?:{pattern})", "$1")
 
 
+def before(text: Column, mark: str) -> Column:
+    """Everything ahead of the first ``mark``; the whole text without one. Much cheaper than a pattern."""
+    return F.substring_index(text, mark, 1)
+
+
 def url_path(url: Column) -> Column:
     """Path of a URL without host, query and fragment; ``/`` when nothing is left or the URL is NULL."""
-    path = remove_all(url, HOST_PATTERN)
-    path = remove_all(path, QUERY_PATTERN)
-    path = remove_all(path, FRAGMENT_PATTERN)
+    path = before(before(remove_all(url, HOST_PATTERN), "?"), "#")
     return F.when(path.isNull() | (path == ""), F.lit("/")).otherwise(path)
 
 
 def url_path_keep_fragment(url: Column) -> Column:
     """Query dropped, then the first host-like part; fragment and empty path are kept as they are."""
-    return remove_first(remove_all(url, QUERY_PATTERN), UNANCHORED_HOST_PATTERN)
+    return remove_first(before(url, "?"), UNANCHORED_HOST_PATTERN)
 
 
 def url_path_one_pass(url: Column) -> Column:
-    """Host and query dropped by one alternation, every match replaced."""
-    return remove_all(url, f"{HOST_PATTERN}|{QUERY_PATTERN}")
+    """Host and query dropped; fragment and empty path are kept as they are."""
+    return before(remove_all(url, HOST_PATTERN), "?")
 
 
 def extract_day(text: Column) -> Column:

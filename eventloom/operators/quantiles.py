@@ -15,18 +15,29 @@ from eventloom.workspace import stage
 ACCURACY = 10_000
 
 
-def _target(name: str, probability: float, accuracy: int) -> Column:
-    """Name, wanted position (from zero) and enclosing values of one quantile, per group."""
+def _bounds(rows: DataFrame, by: list[str], probabilities: dict[str, float], accuracy: int) -> DataFrame:
+    """Per group an array with the name, wanted position (from zero) and enclosing values of each quantile."""
     margin = 3.0 / accuracy
-    low, high = max(0.0, probability - margin), min(1.0, probability + margin)
-    # with few rows a margin of the sketch is below one row, too narrow to enclose both neighbours
-    few = F.count("value") <= 4 * accuracy
-    return F.struct(
-        F.lit(name).alias("name"),
-        ((F.count("value") - 1) * F.lit(float(probability))).alias("position"),
-        F.when(few, F.min("value")).otherwise(F.percentile_approx("value", low, accuracy)).alias("low"),
-        F.when(few, F.max("value")).otherwise(F.percentile_approx("value", high, accuracy)).alias("high"),
+    marks = [max(0.0, p - margin) for p in probabilities.values()] + [min(1.0, p + margin) for p in probabilities.values()]
+    sketched = rows.groupBy(*by).agg(
+        F.count("value").alias("n"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        F.percentile_approx("value", marks, accuracy).alias("marks"),
     )
+    # with few rows a margin of the sketch is below one row, too narrow to enclose both neighbours
+    few = F.col("n") <= 4 * accuracy
+
+    def target(i: int, name: str, probability: float) -> Column:
+        return F.struct(
+            F.lit(name).alias("name"),
+            ((F.col("n") - 1) * F.lit(float(probability))).alias("position"),
+            F.when(few, F.col("least")).otherwise(F.get("marks", F.lit(i))).alias("low"),
+            F.when(few, F.col("most")).otherwise(F.get("marks", F.lit(i + len(probabilities)))).alias("high"),
+        )
+
+    targets = [target(i, name, p) for i, (name, p) in enumerate(probabilities.items())]
+    return sketched.select(*by, F.array(*targets).alias("targets"))
 
 
 def exact_quantiles(
@@ -42,8 +53,7 @@ def exact_quantiles(
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
-    targets = F.array(*[_target(name, p, accuracy) for name, p in probabilities.items()]).alias("targets")
-    bounds = stage(rows.groupBy(*by).agg(targets), "quantile-bounds")
+    bounds = stage(_bounds(rows, by, probabilities, accuracy), "quantile-bounds")
     if by:
         same = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
         enclosed = rows.alias("r").join(bounds.alias("b"), same).select("r.*", "b.targets")

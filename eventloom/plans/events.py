@@ -15,7 +15,10 @@ def distinct(column: str, approx: bool = False, rsd: float = 0.01) -> Column:
 
 
 def event_overview(events: DataFrame, approx: bool = False) -> DataFrame:
-    """Events, users, active days and events per day of each event name."""
+    """Events, users, active days and events per day of each event name, in one scan.
+
+    Only distinct (name, user) and (name, day) pairs travel. ``approx`` replaces them by sketches of fixed size.
+    """
     return (
         events.groupBy("event_name")
         .agg(

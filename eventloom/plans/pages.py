@@ -36,6 +36,16 @@ def page_performance(params: DataFrame) -> DataFrame:
     )
 
 
+def path_views(params: DataFrame) -> DataFrame:
+    """Views per section and path, without users.
+
+    Page views are counted per URL first, so paths are worked out once per distinct URL.
+    """
+    keys = ["key", "event_name", "param_value"]
+    counted = params.groupBy(*keys).agg(F.count(F.lit(1)).alias("views"))
+    return with_sections(counted).groupBy("section", "page_path").agg(F.sum("views").alias("page_views"))
+
+
 def top_pages(params: DataFrame, n: int = 20) -> DataFrame:
     return page_performance(params).orderBy(F.desc("page_views"), "section", "page_path").limit(n)
 
@@ -43,7 +53,7 @@ def top_pages(params: DataFrame, n: int = 20) -> DataFrame:
 def page_sections(params: DataFrame) -> DataFrame:
     """Views and distinct paths per section."""
     return (
-        page_performance(params)
+        path_views(params)
         .groupBy("section")
         .agg(F.sum("page_views").alias("page_views"), F.count(F.lit(1)).alias("paths"))
         .orderBy(F.desc("page_views"), "section")
@@ -59,17 +69,18 @@ def page_views_by_device(
 ) -> DataFrame:
     """Most viewed paths per device, joined on time and user.
 
-    The keys are not unique on either side. Both sides are counted per key first; the product of the counts is the
-    number of rows the plain join would have given.
+    The keys are not unique on either side. Events are counted per key and device first and a page row weighs as many
+    rows as the plain join would have made of it, so a frequent key never multiplies out. The page side goes into the
+    join as it is, where AQE can split a frequent key.
     """
     path = url_path_keep_fragment(F.col("param_value")).alias("page_path")
-    left = page_locations(params).groupBy(*keys, path).agg(F.count(F.lit(1)).alias("n_params"))
+    left = page_locations(params).select(*keys, path)
     right = events.groupBy(*keys, "device_category").agg(F.count(F.lit(1)).alias("n_events"))
     return (
         left.join(right, list(keys), "left")
         .groupBy("device_category", "page_path")
         .agg(
-            F.sum(F.col("n_params") * F.coalesce("n_events", F.lit(1))).alias("page_views"),
+            F.sum(F.coalesce("n_events", F.lit(1))).alias("page_views"),
             F.countDistinct("user_pseudo_id").alias("users"),
         )
         .where(F.col("page_views") >= min_views)
@@ -81,13 +92,10 @@ def page_views_by_device(
 def page_category_counts(params: DataFrame, categories: DataFrame) -> DataFrame:
     """Page views per category; paths without one count under NULL.
 
-    Views are counted per path before the lookup. A path with two categories counts in both.
+    Views are counted per URL, then per path, before the lookup. A path with two categories counts in both.
     """
-    views = (
-        page_locations(params)
-        .groupBy(url_path_one_pass(F.col("param_value")).alias("page_path"))
-        .agg(F.count(F.lit(1)).alias("views"))
-    )
+    counted = page_locations(params).groupBy("param_value").agg(F.count(F.lit(1)).alias("n_url"))
+    views = counted.groupBy(url_path_one_pass(F.col("param_value")).alias("page_path")).agg(F.sum("n_url").alias("views"))
     # the same (path, category) pair listed twice doubles the rows, as the plain join would
     lookup = categories.groupBy("page_path", "category").agg(F.count(F.lit(1)).alias("times"))
     return (
@@ -112,4 +120,4 @@ def page_views_per_user(params: DataFrame) -> DataFrame:
 
 def views_by_path(params: DataFrame, min_views: int) -> DataFrame:
     """Paths with at least ``min_views`` views."""
-    return page_performance(params).where(F.col("page_views") >= min_views).select("page_path", "page_views")
+    return path_views(params).where(F.col("page_views") >= min_views).select("page_path", "page_views")

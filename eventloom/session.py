@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can be changed on a running session.
 RUNTIME_CONF = {
@@ -25,6 +25,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MEGABYTE = 1 << 20
+SHUFFLE_PARTITION_BYTES = 128 * MEGABYTE
+MOST_SHUFFLE_PARTITIONS = 10_000
+MOST_SCAN_TASKS = 100_000
+LARGEST_SPLIT = 1024 * MEGABYTE
+
+
+def fit_to_input(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the number of shuffle partitions and the scan split size to what an input of this size needs.
+
+    AQE can merge shuffle partitions that turn out small but cannot split ordinary ones that are too large, so it
+    starts from a count that grows with the input. Very large inputs get larger splits: scans read a few columns of
+    each, and the number of scan tasks times shuffle partitions has to stay manageable. Settings are never lowered.
+    """
+    partitions = min(input_bytes // SHUFFLE_PARTITION_BYTES, MOST_SHUFFLE_PARTITIONS)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions > current:
+        spark.conf.set(initial, str(partitions))
+    split = min(input_bytes // MOST_SCAN_TASKS, LARGEST_SPLIT)
+    if split > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{split}b")
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimizer's size of a frame; for files, their total length."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def get_session(
     app_name: str = "eventloom",
     master: str | None = None,

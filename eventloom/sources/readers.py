@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from eventloom.sources.listing import list_files
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet file or folder; ``columns`` limits what the scan reads."""
-    df = spark.read.parquet(path)
+def read_parquet(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A Parquet file or folder; ``columns`` limits what the scan reads, ``schema`` saves looking into the files."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     return df.select(*columns) if columns else df
 
 

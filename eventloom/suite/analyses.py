@@ -272,7 +272,7 @@ LEFT JOIN (SELECT user_pseudo_id, count(*) AS purchases, sum(ecommerce_purchase_
 GROUP BY 1""",
 )
 def user_segments(t: Tables) -> DataFrame:
-    segments = users.user_segments(t.session_numbers(), t.events())
+    segments = users.user_segments(t.session_start_numbers(), t.events())
     return rounded(rounded(segments, 2, "total_revenue"), 8, "avg_revenue", "avg_sessions")
 
 

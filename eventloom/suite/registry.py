@@ -38,6 +38,10 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+# Column types of the Parquet copies of the checkouts.
+CHECKOUT_COPY_SCHEMA = "MaterialType string, CheckoutYear int, CheckoutMonth int, Checkouts bigint, Title string, ISBN string, Creator string"
+
+
 def _checkout_file(t: Tables) -> DataFrame:
     return t.checkouts().select(
         "MaterialType", "CheckoutYear", "CheckoutMonth", "Checkouts", "Title", F.lit(None).cast("string").alias("ISBN"), "Creator"

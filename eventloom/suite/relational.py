@@ -201,9 +201,10 @@ def bounce_rate(t: Tables) -> DataFrame:
         "event_id",
         F.col("user_id").alias("user_pseudo_id"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),
-        url_path(F.col("url")).alias("page_path"),
+        "url",
     )
-    return engagement.bounce_rate(session_activity(paged, keep_first=["page_path"], order_by=["event_id"]))
+    sessions = session_activity(paged, keep_first=["url"], order_by=["event_id"])
+    return engagement.bounce_rate(sessions.withColumn("page_path", url_path(F.col("url"))))
 
 
 @query(
