@@ -69,7 +69,12 @@ def main() -> None:
     memory = os.environ.get("BENCH_MEMORY", "8g")
     spark = get_session(
         "bench", f"local[{cpus}]", shuffle_partitions=int(cpus),
-        **{"spark.driver.memory": memory, "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.driver.memory": memory,
+            "spark.ui.showConsoleProgress": "false",
+            # no call-site bookkeeping per column expression
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     t = Tables(spark, folder)

@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     # split a hot key even where that costs one more exchange downstream
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows of one key compress well, so a partition with very many of them may look small
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 

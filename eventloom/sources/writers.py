@@ -22,14 +22,18 @@ def write_partitioned(
     max_rows_per_file: int | None = None,
     mode: str = "errorifexists",
     replace_only_present: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """One directory level per column in ``by``.
 
     The rebalance step brings the rows of a directory together so that small directories get one file, and lets AQE
-    split a directory that is larger than the advisory size over several tasks. ``replace_only_present`` overwrites
-    just the directories that occur in ``df``.
+    split a directory that is larger than the advisory size over several tasks. Turn it off when the input files are
+    large and each belongs to one directory already: the tasks then write what they read, without a shuffle.
+    ``replace_only_present`` overwrites just the directories that occur in ``df``.
     """
-    writer = df.hint("rebalance", *by).write.mode(mode).option("compression", compression).partitionBy(*by)
+    if rebalance:
+        df = df.hint("rebalance", *by)
+    writer = df.write.mode(mode).option("compression", compression).partitionBy(*by)
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     if replace_only_present:

@@ -92,6 +92,15 @@ def test_day_that_loses_its_items(spark, ingest, tmp_path):
     assert counts(ingest) == {"20240101": 3, "20240102": 2}
 
 
+def test_large_raw_files_are_written_without_a_shuffle(spark, tmp_path):
+    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), large_file_bytes=1)
+    day_file(spark, ingest.raw, "20240101", range(3))
+    day_file(spark, ingest.raw, "20240102", range(4))
+    ingest.run()
+    ingest.run(checkpoint=str(tmp_path / "other"))
+    assert counts(ingest) == counts(ingest, "items") == {"20240101": 3, "20240102": 4}
+
+
 def test_nothing_ingested_yet(ingest):
     assert ingest.table("items").count() == 0 and ingest.log().count() == 0
 
