@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from eventloom.operators.udf_policy import apply_policy
-from eventloom.workspace import stage
+from eventloom.workspace import shared_folder, stage
 
 
 def compute(df: DataFrame, mode: str = "table", udf_policy: str = "ignore") -> DataFrame:
@@ -19,6 +19,8 @@ def compute(df: DataFrame, mode: str = "table", udf_policy: str = "ignore") -> D
     if mode == "table":
         return stage(df, "compute")
     if mode == "checkpoint":
+        if df.sparkSession.sparkContext.getCheckpointDir() is None:
+            df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
         return df.checkpoint(eager=True)
     if mode == "cache":
         return df.persist(StorageLevel.MEMORY_AND_DISK)

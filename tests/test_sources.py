@@ -137,6 +137,35 @@ def test_arrow_files(spark, tmp_path):
     assert tuple(df.agg(F.count("*"), F.sum("i"), F.count("s")).first()) == (2000, 999000, 1800)
 
 
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    """Only what the choice of the shared folder looks at."""
+
+    def __init__(self, master, **conf):
+        self.conf, self.sparkContext = conf, FakeContext(master)
+
+
+def test_shared_folder_comes_from_the_session(tmp_path, monkeypatch):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    named = FakeSession("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://x/shared/"})
+    assert workspace.shared_folder(named) == "hdfs://x/shared"
+    local = FakeSession("local[2]")
+    assert workspace.shared_folder(local).startswith(str(tmp_path))
+    assert workspace.shared_folder(local) == workspace.shared_folder(local)
+    with pytest.raises(RuntimeError):
+        workspace.shared_folder(FakeSession("spark://host:7077"))
+
+
 def test_stage_uses_the_shared_folder(spark):
     staged = workspace.stage(spark.range(3))
     assert all(workspace.shared_folder(spark) in f for f in staged.inputFiles())
