@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import json
 import os
-import statistics
 import sys
-import time
 
 from eventloom import get_session
 from eventloom.fixtures import Tables
@@ -20,6 +18,7 @@ from eventloom.sources import read_csv, read_parquet, read_partitioned
 from eventloom.suite import QUERIES
 from eventloom.suite.files import CHECKOUT_SCHEMA
 from eventloom.suite.registry import CHECKOUT_COPY_SCHEMA as COPY_SCHEMA, file_copy
+from eventloom.timing import mark
 
 HEADLINE = [
     "event_overview", "event_counts", "top_events", "daily_events", "event_date_users", "monthly_event_summary",
@@ -52,16 +51,6 @@ def layouts(t: Tables) -> dict:
     }
 
 
-def seconds(build, runs: int) -> float:
-    """Median time to plan and execute."""
-    times = []
-    for _ in range(runs + 1):
-        start = time.perf_counter()
-        build().write.format("noop").mode("overwrite").save()
-        times.append(time.perf_counter() - start)
-    return round(statistics.median(times[1:]), 4)
-
-
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
@@ -80,7 +69,8 @@ def main() -> None:
     t = Tables(spark, folder)
     builders = {name: (lambda name=name: QUERIES[name](spark, folder)) for name in HEADLINE} | layouts(t)
     wanted = sys.argv[1:]
-    timed = {name: seconds(build, runs) for name, build in builders.items() if not wanted or name in wanted}
+    chosen = {name: build for name, build in builders.items() if not wanted or name in wanted}
+    timed = {result["name"]: round(result["median"], 4) for result in mark(chosen, runs)}
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(

@@ -44,24 +44,18 @@ def funnel_stages(events: DataFrame, stages: Sequence[str] = STAGES, labels: dic
     )
 
 
-# Stage order and share of the first stage, as SQL over a view or frame called events.
+# The funnel as SQL: {events} is the event frame, :stages the stage names in order.
 FUNNEL_SQL = """
-WITH funnel AS (
-  SELECT event_name, users,
-         ROW_NUMBER() OVER (ORDER BY array_position(array('view_item', 'add_to_cart', 'begin_checkout', 'purchase'),
-                                                    event_name)) AS stage_order
-  FROM (SELECT event_name, COUNT(DISTINCT user_pseudo_id) AS users
-        FROM {events}
-        WHERE event_name IN ('view_item', 'add_to_cart', 'begin_checkout', 'purchase')
-        GROUP BY event_name)
-)
 SELECT event_name, users,
-       ROUND(100.0D * users / NULLIF(FIRST_VALUE(users) OVER (ORDER BY stage_order), 0), 1) AS pct_of_top
-FROM funnel
-ORDER BY stage_order
+       round(100.0D * users / nullif(first_value(users) OVER (ORDER BY stage), 0), 1) AS pct_of_top
+FROM (SELECT event_name, array_position(:stages, event_name) AS stage, count(DISTINCT user_pseudo_id) AS users
+      FROM {events}
+      WHERE array_contains(:stages, event_name)
+      GROUP BY event_name)
+ORDER BY stage
 """
 
 
-def funnel_sql(events: DataFrame) -> DataFrame:
-    """The four-stage funnel through the SQL surface."""
-    return events.sparkSession.sql(FUNNEL_SQL, events=events)
+def funnel_sql(events: DataFrame, stages: Sequence[str] = SHORT_STAGES) -> DataFrame:
+    """Users per stage and their percentage of the first stage, through the SQL surface."""
+    return events.sparkSession.sql(FUNNEL_SQL, {"stages": F.array(*[F.lit(s) for s in stages])}, events=events)
