@@ -39,7 +39,9 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 # Column types of the Parquet copies of the checkouts.
-CHECKOUT_COPY_SCHEMA = "MaterialType string, CheckoutYear int, CheckoutMonth int, Checkouts bigint, Title string, ISBN string, Creator string"
+CHECKOUT_COPY_SCHEMA = (
+    "MaterialType string, CheckoutYear int, CheckoutMonth int, Checkouts bigint, Title string, ISBN string, Creator string"
+)
 
 
 def _checkout_file(t: Tables) -> DataFrame:

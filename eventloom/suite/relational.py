@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from eventloom.fixtures import Tables
-from eventloom.functions import not_in
-from eventloom.operators import across, drop_complex, share_of_total, top_per_group
+from eventloom.functions import not_in, url_path
+from eventloom.operators import across, drop_complex, session_activity, share_of_total, top_per_group
 from eventloom.operators.columns import is_numeric
 from eventloom.plans import checkouts, engagement, events, pages, products, traffic
 from eventloom.sources import union_all_by_name
@@ -175,8 +175,6 @@ def pivot_events(t: Tables) -> DataFrame:
 FROM gap_sessions GROUP BY 1""",
 )
 def p99_session_duration(t: Tables) -> DataFrame:
-    from eventloom.operators import session_activity
-
     sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
     return rounded(engagement.p99_session_duration(sessions), 4, "p99_duration_s")
 
@@ -194,9 +192,6 @@ FROM (SELECT user_pseudo_id, session_number, count(*) AS events, arg_min(path, e
       GROUP BY 1, 2) s GROUP BY 1""",
 )
 def bounce_rate(t: Tables) -> DataFrame:
-    from eventloom.functions import url_path
-    from eventloom.operators import session_activity
-
     paged = t.paged_events().select(
         "event_id",
         F.col("user_id").alias("user_pseudo_id"),
@@ -227,8 +222,6 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY device_category
 WHERE rank <= 3""".replace("session_number, n_events", "CAST(session_number AS bigint) AS session_number, n_events"),
 )
 def session_rank(t: Tables) -> DataFrame:
-    from eventloom.operators import session_activity
-
     sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
     ranked = engagement.longest_sessions(sessions).drop("first_us", "last_us")
     return rounded(ranked, 6, "duration_s")
@@ -242,8 +235,6 @@ FROM (SELECT device_category, (epoch_us(first_ts) - lag(epoch_us(last_ts)) OVER
         ORDER BY session_number)) / 1000000.0 AS pause_s FROM gap_sessions) g GROUP BY 1""",
 )
 def session_lag(t: Tables) -> DataFrame:
-    from eventloom.operators import session_activity
-
     sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
     return rounded(engagement.return_times(sessions), 3, "mean_pause_s")
 

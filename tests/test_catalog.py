@@ -3,6 +3,8 @@
 import pytest
 
 from eventloom.catalog import Catalog, ReadOnlyError
+from eventloom.operators import udf_report
+from eventloom.suite.inspection import _bracketed
 from tests.conftest import plan, rows
 
 
@@ -40,3 +42,10 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert "Exchange" not in plan(joined) and joined.count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_user_function_registered_by_name(spark):
+    spark.udf.register("bracketed", _bracketed)
+    spark.createDataFrame([("a",)], "name string").createOrReplaceTempView("names")
+    labelled = spark.sql("SELECT bracketed(name) AS label FROM names")
+    assert labelled.first().label == "[a]" and udf_report(labelled)
