@@ -82,7 +82,7 @@ _CANONICAL = r"""CASE WHEN contains(url, '://') THEN
 @query(
     rf"""
 WITH q AS (SELECT page_id, url, list_sort(list_filter(string_split(regexp_extract(url, '://[^?#]*\?([^#]*)', 1), '&'),
-  x -> x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS params FROM pages),
+  lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS params FROM pages),
 p AS (SELECT page_id, {_CANONICAL} AS canon,
   coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM q),
