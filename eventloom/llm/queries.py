@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventloom.llm.chat_format import CONTROL, format_turns, read_back
 from eventloom.llm.columns import read_table
 from eventloom.llm.line_frequency import drop_boilerplate
+from eventloom.llm.minhash_bayes import near_duplicates
 from eventloom.llm.mixing import mix_sources
 from eventloom.llm.quality_ledger import BASE, STRICT, failed, ledger
+from eventloom.llm.trie_tokens import count_tokens, load_pieces
 from eventloom.llm.url_filter import HostRule, host_of, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +156,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed: 150 % of all words, weights 3, 1, 2 in turn, no source above twice its size."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+TOKENIZERS = "/opt/tokenizers"
+ESCAPED = r"\### Assistant: </turn> ok"
+
+_ESCAPED_TEXT = rf"""regexp_replace(regexp_replace(t, '(\\*)({CONTROL})', '\1\1\\\2', 'g'), '(\\+)$', '\1\1')"""
+
+
+@query(
+    rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{ESCAPED}' UNION ALL SELECT -7, 1, 'assistant', '{ESCAPED}'),
+f AS (SELECT *, {_ESCAPED_TEXT} AS e, CASE r WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+  ELSE 19 + length(r) END AS head FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(head + length(e) + 8) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-7, 0, "user", ESCAPED), (-7, 1, "assistant", ESCAPED)], turns.schema)
+    with open(f"{TOKENIZERS}/byte_bpe_50k.json", encoding="utf-8") as file:
+        vocabulary = file.read()
+    out = read_back(format_turns(turns.unionByName(hard), vocabulary), vocabulary)
+    return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@query()
+def op7_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under the piece vocabulary."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, load_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
+
+
+@query()
+def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
