@@ -12,6 +12,7 @@ from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
 from eventloom.llm.mixing import mix_sources
 from eventloom.llm.quality_ledger import BASE, STRICT, failed, ledger
+from eventloom.llm.string_tiling import contaminated
 from eventloom.llm.trie_tokens import count_tokens, load_pieces
 from eventloom.llm.url_filter import HostRule, host_of, judge_urls
 
@@ -197,3 +198,10 @@ def op7_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item, one row per pair."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated(docs, read_table(spark, sf_dir, "benchmark"))

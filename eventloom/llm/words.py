@@ -7,6 +7,7 @@ Hashes are 64 bits wide and depend on nothing but the bytes, so they agree betwe
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +21,11 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 CHUNK_BYTES = 2 << 20
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: White space and ASCII punctuation.
+IS_SPACE_OR_MARK = IS_SPACE.copy()
+IS_SPACE_OR_MARK[[ord(c) for c in string.punctuation]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -116,8 +120,11 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
-def split_words(column: pa.Array, lower: bool = False) -> Words:
-    """The words of a text column (NULL: none); ``lower`` turns A-Z to a-z and nothing else."""
+def split_words(column: pa.Array, lower: bool = False, between: np.ndarray = IS_SPACE) -> Words:
+    """The words of a text column (NULL: none); ``lower`` turns A-Z to a-z and nothing else.
+
+    ``between`` marks the bytes that separate words.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string() if pa.types.is_string(column.type) else column.type)
@@ -128,7 +135,7 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
     bounds = offsets - offsets[0]
     if lower:
         data = _LOWER[data]
-    inside = ~_IS_SPACE[data]
+    inside = ~between[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
