@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventloom.llm.words import SPACE_CLASS, SPACES
-from eventloom.workspace import stage
+from eventloom.workspace import new_folder
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,13 +39,30 @@ def row_key(text: str = "text", key: str = "doc_id") -> Column:
     return F.xxhash64(F.col(key), F.col(text))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder, read it back, and let Spark drop the shuffle files of the finished step.
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps.
 
-    The files of a shuffle go when the driver's garbage collector finds its last reference gone, which on a large
-    driver heap may be hours later; the steps of one operator would then add up on the executors' disks.
+    They go when the driver's garbage collector finds their last reference gone, which on a large heap may be hours
+    later; the steps of one operator would then add up on the executors' disks.
     """
-    out = stage(df, label)
     gc.collect()
-    df.sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a step that is done, whatever executor is lost later."""
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.staged_folder = folder
+    release(spark)
     return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        session = table.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(table.staged_folder)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)

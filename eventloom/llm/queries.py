@@ -11,6 +11,7 @@ from eventloom.llm.columns import read_table
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
 from eventloom.llm.mixing import mix_sources
+from eventloom.llm.phrase_automata import without_repeats
 from eventloom.llm.quality_ledger import BASE, STRICT, failed, ledger
 from eventloom.llm.string_tiling import contaminated
 from eventloom.llm.trie_tokens import count_tokens, load_pieces
@@ -37,6 +38,13 @@ def page_lines(html):
     return F.filter(F.split(html, "<[^>]*>|\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
 
+@query()
+def op1_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that occur twice."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs, whole=False)
+
+
 PAGE_RATIO, PAGE_MIN = 0.05, 3
 
 
