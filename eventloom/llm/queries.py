@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.llm.chat_format import CONTROL, format_turns, read_back
 from eventloom.llm.columns import read_table
+from eventloom.llm.interpolation import scored
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
 from eventloom.llm.mixing import mix_sources
@@ -213,3 +214,9 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item, one row per pair."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a bigram model of those that are not held out."""
+    return scored(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
