@@ -206,8 +206,21 @@ def _verifier(p: Params):
     return run
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Params = Params()) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest key, NULL last, then of the smallest row key.
+
+    Texts without words are no duplicates of each other, but rows that agree in key and text are; all columns stay.
+    """
+    found = near_duplicates(docs.select(key, text), key, text, p)
+    best = F.min(F.struct(F.col(key).isNull().alias("x"), F.col(key).alias("k"), F.col("row").alias("r")))
+    chosen = staged(found.groupBy("group").agg(best.alias("b")).select(F.col("b.r").alias("__chosen")), "near-chosen")
+    rows = docs.withColumn("__row", row_key(text, key))
+    return rows.join(chosen, F.col("__row") == F.col("__chosen"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Params = Params()) -> DataFrame:
-    """Per row: ``key``, ``n_shingles``, ``component_id`` (smallest key that links reach) and ``kept``.
+    """Per row: ``key``, ``n_shingles``, ``component_id`` (smallest key that links reach) and ``kept``; also ``row``, the
+    key of ``row_key``, and ``group``, which tells components apart whatever their keys are.
 
     Texts are compared as sets of ``p.shingle`` lower-cased words; a shorter text is one shingle, a text without words
     has none and is linked with nothing, its component is itself. Kept is a row whose key is its component's. Repeated
@@ -260,13 +273,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
     named = first.select("cls", "first_key").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("label", F.coalesce("label", "cls"))
     lowest = named.groupBy("label").agg(F.min("first_key").alias("component_id"))
-    classes = staged(named.join(lowest, "label").select("cls", "component_id"), "near-classes")
+    classes = staged(named.join(lowest, "label").select("cls", "component_id", F.col("label").alias("group")), "near-classes")
     # texts without words stay out of the join: they would all meet under one class
-    linked = full.select("key", "n_shingles", "cls").join(classes, "cls").drop("cls")
-    alone = sketches.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
+    linked = full.select("key", "n_shingles", "row", "cls").join(classes, "cls").drop("cls")
+    alone = sketches.where("n_shingles = 0").select(
+        "key", "n_shingles", "row", F.col("key").alias("component_id"), F.col("row").alias("group")
+    )
     return (
-        linked.select("key", "n_shingles", "component_id")
-        .unionByName(alone)
+        linked.unionByName(alone)
         .withColumn("kept", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)))
         .withColumnRenamed("key", key)
     )

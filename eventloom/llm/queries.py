@@ -206,7 +206,8 @@ def op7_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
-    return near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query()
