@@ -96,16 +96,18 @@ def ledger(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
         .withColumn("__ledger_starts", repeated)
     )
     n_lines = F.size("__ledger_lines")
-    measured = wide.withColumns(
-        {
-            "n_words": F.size(words).cast("long"),
-            "word_chars": F.length(F.translate(body, " \t\n\x0b\x0c\r", "")).cast("long"),
-            "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
-            "n_lines": n_lines.cast("long"),
-            "n_dup_lines": (n_lines - F.size(F.array_distinct("__ledger_lines"))).cast("long"),
-            "n_repeat_words": covered,
-        }
-    ).drop(*(f"__ledger_{x}" for x in ("words", "lines", "grams", "order", "starts")))
+    measures = {
+        "n_words": F.size(words),
+        "word_chars": F.length(F.translate(body, " \t\n\x0b\x0c\r", "")),
+        "n_symbols": F.length(body) - F.length(F.translate(body, SYMBOLS, "")),
+        "n_lines": n_lines,
+        "n_dup_lines": n_lines - F.size(F.array_distinct("__ledger_lines")),
+        "n_repeat_words": covered,
+    }
+    # A filter on a measurement must not be pushed below it, or the arrays would be built anew inside the lambdas.
+    # Catalyst keeps filters on the output of a generator above it; this one gives a row per row.
+    once = F.inline(F.array(F.struct(*(m.cast("long").alias(name) for name, m in measures.items()))))
+    measured = wide.select(*(F.col(c) for c in docs.columns if c not in measures), once)
     mask = F.lit(0).cast("long")
     for bit, rule in enumerate(rules):
         mask = mask + F.when(F.expr(rule.failed), F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
