@@ -5,11 +5,11 @@ A window is ``Params.window`` consecutive words. Two equal windows share the sam
 
 1. every text reports its anchors, one for about every fourteen words, and anchors that occur once are dropped;
 2. texts are cut to the passages around shared anchors, and their windows are counted: those found twice are repeated;
-3. each repeated window is taken from one of its places; neighbours under one anchor form a phrase;
-4. passages are dealt into blocks of bounded size, and each block gets the phrases of the anchors it holds. The block's
-   automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase contains a
-   whole piece. All passages of the block stream through it, and a hit is extended as far as phrase and text agree;
-   where that is a window or more, all of it is repeated;
+3. each repeated window is taken from one of its places; neighbouring windows form phrases of bounded length;
+4. passages are dealt into blocks of bounded size, and each block gets the phrases that have an anchor it holds. The
+   block's automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase
+   contains a whole piece. All passages of the block stream through it, and a hit is extended as far as phrase and text
+   agree; where that is a window or more, all of it is repeated;
 5. the words found are removed from the whole texts.
 
 Work grows with the text, not with the square of anything: a phrase goes to the blocks that hold its anchor only.
@@ -47,11 +47,13 @@ _CODES = 0x10FFFF - 0xE000
 
 @dataclass(frozen=True)
 class Params:
-    """``block_chars`` bounds the passages one automaton serves; it changes the number of automata, not the result."""
+    """``block_chars`` bounds the passages one automaton serves and ``phrase_windows`` the length of a phrase; neither
+    changes the result."""
 
     window: int = 35
     gram: int = 8
-    block_chars: int = 6_000_000
+    block_chars: int = 3_000_000
+    phrase_windows: int = 150
 
 
 def anchored(words: Words, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -138,14 +140,14 @@ def _windows(p: Params):
 
 
 def _phrases(p: Params):
-    """Runs of repeated windows under one anchor, from the passages that are their chosen places."""
+    """Runs of repeated windows, from the passages that are their chosen places, with the anchors they have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = split_words(part.column("text"))
                 hashes = signed(gram_hashes(words.hash, p.window))
-                chosen = np.zeros(len(words), bool)
+                chosen = np.zeros(len(words) + 1, bool)
                 at, places = part.column("at").to_numpy(), part.column("places")
                 for i in range(part.num_rows):
                     flat = places[i].values
@@ -155,18 +157,22 @@ def _phrases(p: Params):
                     # another row may share the upper bits of the key; its windows are not here
                     local = local[hashes[local] == flat.field("hash").to_numpy()[inside]]
                     chosen[local] = True
+                _, start, count, anchor = anchored(words, p)
+                anchor_of = np.zeros(len(words), np.uint64)
+                anchor_of[np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)] = (
+                    np.repeat(anchor, count)
+                )
+                # windows of two texts never neighbour each other: a text's last words start none
+                edges = np.flatnonzero(np.diff(chosen.astype(np.int8), prepend=0)).tolist()
                 anchors, texts = [], []
-                for start, count, anchor in zip(*anchored(words, p)[1:], strict=True):
-                    here = np.flatnonzero(np.diff(chosen[start : start + count].astype(np.int8), prepend=0, append=0))
-                    for a, b in zip(here[::2].tolist(), here[1::2].tolist(), strict=True):
-                        anchors.append(anchor)
-                        texts.append(words.joined(np.arange(start + a, start + b - 1 + p.window)))
+                for begin, end in zip(edges[::2], edges[1::2], strict=True):
+                    for a in range(begin, end, p.phrase_windows):
+                        b = min(end, a + p.phrase_windows)
+                        anchors.append(signed(np.unique(anchor_of[a:b])))
+                        texts.append(words.joined(np.arange(a, b - 1 + p.window)))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(np.array(anchors, np.uint64))),
-                        pa.array(texts, pa.binary()).cast(pa.string()),
-                    ],
-                    ["anchor", "phrase"],
+                    [pa.array(anchors, pa.list_(pa.int64())), pa.array(texts, pa.binary()).cast(pa.string())],
+                    ["anchors", "phrase"],
                 )
 
     return run
@@ -179,58 +185,84 @@ def _coded(ids: np.ndarray) -> str:
     return code.tobytes().decode("utf-32-le")
 
 
+def _numbered(columns: list[pa.ChunkedArray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Words of text columns as numbers that agree where the words do, and where each text's begin."""
+    hashes, firsts = [], []
+    for column in columns:
+        parts, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+        for batch in pa.table({"text": column}).to_batches():
+            for part in slices(batch, "text"):
+                words = split_words(part.column("text"))
+                parts.append(words.hash)
+                counts.append(words.counts)
+        hashes.append(np.concatenate(parts))
+        firsts.append(np.cumsum(np.concatenate(counts)))
+    _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    return np.split(number.astype(np.int32), np.cumsum([len(h) for h in hashes])[:-1]), firsts
+
+
 def _locate(p: Params):
     piece = (p.window + 1) // 2
 
+    def extent(a: str, at: int, low: int, high: int, b: str, here: int) -> tuple[int, int]:
+        """The longest range around ``at`` in which both agree, between ``low`` and ``high``."""
+        shift = here - at
+        if a[low:high] == b[low + shift : high + shift]:
+            return low, high
+        left = right = at
+        while left > low and a[left - 1] == b[left - 1 + shift]:
+            left -= 1
+        while right < high and a[right] == b[right + shift]:
+            right += 1
+        return left, right
+
     def run(passages: pa.Table, phrases: pa.Table) -> pa.Table:
         out_row, out_at, out_to = [], [], []
         if passages.num_rows and phrases.num_rows:
-            text = split_words(passages.column("text"))
-            known = split_words(phrases.column("phrase"))
-            _, number = np.unique(np.concatenate([text.hash, known.hash]), return_inverse=True)
-            doc, phrase = number[: len(text)], number[len(text) :]
+            (doc, phrase), (first, known) = _numbered([passages.column("text"), phrases.column("phrase")])
             codes, phrase_codes = _coded(doc), _coded(phrase)
-            edges = known.first.tolist()
-            values: dict[str, list[tuple[int, int, int]]] = {}
+            exact = max(doc.max(initial=0), phrase.max(initial=0)) < _CODES
+            edges = known.tolist()
+            automaton = ahocorasick.Automaton()
             for begin, end in zip(edges, edges[1:], strict=False):
                 for at in range(begin, end - piece + 1, piece):
-                    values.setdefault(phrase_codes[at : at + piece], []).append((begin, at, end))
-            automaton = ahocorasick.Automaton()
-            for word, places in values.items():
-                automaton.add_word(word, places)
+                    word = phrase_codes[at : at + piece]
+                    places = automaton.get(word, None)
+                    if places is None:
+                        automaton.add_word(word, [(begin, at, end)])
+                    else:
+                        places.append((begin, at, end))
             automaton.make_automaton()
-            doc_list, phrase_list = doc.tolist(), phrase.tolist()
-            covered = np.zeros(len(text) + 1, np.int32)
-            done = np.zeros(len(text), bool)
-            firsts = text.first.tolist()
+            if not exact:  # more words than code points: compare the numbers themselves
+                doc_words, phrase_words = doc.tolist(), phrase.tolist()
+            done = bytearray(len(doc))
+            firsts = first.tolist()
             for low, high in zip(firsts, firsts[1:], strict=False):
                 for last, places in automaton.iter(codes[low:high]):
                     at = low + last - piece + 1
                     for begin, here, end in places:
                         left, right = max(low, at - (here - begin)), min(high, at + (end - here))
-                        if right - left < p.window or done[left:right].all():
+                        if right - left < p.window or done.find(0, left, right) < 0:
                             continue
-                        a, shift = at, here - at
-                        while a > left and doc_list[a - 1] == phrase_list[a - 1 + shift]:
-                            a -= 1
-                        b = at  # from the piece on: equal codes may stand for different words
-                        while b < right and doc_list[b] == phrase_list[b + shift]:
-                            b += 1
+                        if exact:
+                            a, b = extent(codes, at, left, right, phrase_codes, here)
+                        else:
+                            a, b = extent(doc_words, at, left, right, phrase_words, here)
                         if b - a >= p.window:
-                            covered[a] += 1
-                            covered[b] -= 1
-                            done[a:b] = True
-            inside = np.cumsum(covered[:-1]) > 0
-            change = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-            begin, end = change[::2], change[1::2]
-            # a run may go on in the next passage, which is another place of another text
-            cuts = text.first[1:-1]
-            points = np.unique(np.concatenate([begin, cuts[inside[np.minimum(cuts, len(inside) - 1)] & (cuts < len(inside))]]))
-            stops = np.minimum(end[np.searchsorted(end, points, "right")], text.first[np.searchsorted(text.first, points, "right")])
-            owner = np.searchsorted(text.first, points, "right") - 1
-            shift = passages.column("at").to_numpy()[owner] - text.first[owner]
+                            done[a:b] = b"\x01" * (b - a)
+            inside = np.frombuffer(done, np.uint8)
+            fresh = inside == 1
+            fresh[1:] &= inside[:-1] == 0
+            fresh[first[:-1][first[:-1] < len(doc)]] |= inside[first[:-1][first[:-1] < len(doc)]] == 1
+            close = inside == 1
+            close[:-1] &= inside[1:] == 0
+            ends = first[1:][first[1:] > 0] - 1
+            close[ends] |= inside[ends] == 1
+            begin, end = np.flatnonzero(fresh), np.flatnonzero(close) + 1
+            owner = np.searchsorted(first, begin, "right") - 1
+            shift = passages.column("at").to_numpy()[owner] - first[owner]
             out_row = passages.column("row").to_numpy()[owner]
-            out_at, out_to = points + shift, stops + shift
+            out_at, out_to = begin + shift, end + shift
         return pa.table(
             {"row": pa.array(out_row, pa.int64()), "at": pa.array(out_at, pa.int32()), "to": pa.array(out_to, pa.int32())}
         )
@@ -266,13 +298,15 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
         passages.withColumn("__part", F.col("row").bitwiseAND(F.lit(_ROW_MASK).cast("long")))
         .join(places, F.col("__part") == F.col("__key"))
         .select("at", "text", "places")
-        .mapInArrow(_phrases(p), "anchor bigint, phrase string")
-        .distinct(),
+        .mapInArrow(_phrases(p), "anchors array<bigint>, phrase string")
+        .withColumn("number", F.xxhash64("phrase")),
         "phrases",
     )
     chars = passages.agg(F.sum(F.length("text"))).first()[0] or 0
     block = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(max(1, -(-chars // p.block_chars)))).alias("block")
-    wanted = hits.select("anchor", block).distinct().join(phrases, "anchor").select("block", "phrase")
+    having = phrases.select("number", F.explode("anchors").alias("anchor"))
+    asked = staged(hits.select("anchor", block).distinct().join(having, "anchor").select("block", "number").distinct(), "asked")
+    wanted = asked.join(phrases.select("number", "phrase"), "number").select("block", "phrase")
     found = staged(
         passages.select(block, "row", "at", "text")
         .groupBy("block")
@@ -280,7 +314,7 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
         .applyInArrow(_locate(p), "row bigint, at int, to int"),
         "repeated",
     )
-    discard(hits, passages, phrases)
+    discard(hits, passages, phrases, asked)
     return found.groupBy("row").agg(F.collect_set(F.struct("at", "to")).alias("spans"))
 
 
