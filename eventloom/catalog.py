@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -70,10 +71,26 @@ class Catalog:
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Run a SELECT; frames given by name are usable in the text as ``{name}``."""
-        if self.read_only and not text.lstrip(" (\n").lower().startswith(("select", "with", "show", "describe")):
+        if self.read_only and self._changes_something(text.format(**{name: name for name in frames}) if frames else text):
             raise ReadOnlyError("only queries are allowed")
         return self.spark.sql(text, **frames)
 
+    def _changes_something(self, text: str) -> bool:
+        """Whether the statement, as the session parses it, holds a command or an insert anywhere."""
+        plan = self.spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+        gateway, logical = self.spark.sparkContext._gateway, "org.apache.spark.sql.catalyst.plans.logical."
+        nodes = [plan]
+        while nodes:
+            node = nodes.pop()
+            # these only read, whatever statement they are about
+            if node.getClass().getSimpleName().startswith(("Show", "Describe", "Explain")):
+                continue
+            if any(is_instance_of(gateway, node, logical + kind) for kind in ("Command", "InsertIntoStatement")):
+                return True
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+        return False
+
     def row_counts(self) -> DataFrame:
         """Number of rows of each stored table."""
         return row_counts({name: self.table(name) for name in self.tables()})

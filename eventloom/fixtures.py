@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventloom import schemas
@@ -56,7 +58,13 @@ def _micros() -> Column:
     return F.unix_micros(F.col("ts").cast("timestamp"))
 
 
-_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+def _session_entries() -> Column:
+    """The number of a session among parameters that must not be taken for it."""
+    values = {"ga_session_number": F.col("session_number"), "ga_session_id": F.lit(1), "engaged": F.lit(None)}
+    return F.array(*(F.struct(F.lit(k).alias("key"), v.cast("string").alias("param_value")) for k, v in values.items()))
+
+
+_SCHEMAS: WeakKeyDictionary[SparkSession, dict[str, T.StructType]] = WeakKeyDictionary()
 
 
 class Tables:
@@ -68,12 +76,12 @@ class Tables:
     def base(self, name: str) -> DataFrame:
         """One given table. Its schema is looked up in the files once per session."""
         path = f"{self.folder}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
-        if key not in _SCHEMAS:
+        known = _SCHEMAS.setdefault(self.spark, {})
+        if path not in known:
             table = self.spark.read.parquet(path)
             fit_to_input(self.spark, size_in_bytes(table))
-            _SCHEMAS[key] = table.schema
-        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
+            known[path] = table.schema
+        return self.spark.read.schema(known[path]).parquet(path)
 
     def events(self) -> DataFrame:
         """Flat events with a typed date and the time as a timestamp."""
@@ -117,15 +125,17 @@ class Tables:
         return events.join(pages, "page_id")
 
     def params(self) -> DataFrame:
-        """Parameter table with the page location of each event."""
+        """Parameter table with three parameters per event, one of them NULL and one NULL now and then."""
+        location = F.when(F.col("event_id") % 11 != 0, F.col("url"))
+        values = {"page_location": location, "ga_session_number": F.lit("1"), "page_title": F.lit(None).cast("string")}
+        entries = [F.struct(F.lit(k).alias("key"), v.alias("param_value")) for k, v in values.items()]
         return self.paged_events().select(
             "event_id",
             F.col("ts").cast("date").alias("event_date"),
             F.col("ts").alias("event_ts"),
             F.when(F.col("event_type") == "view", "page_view").otherwise(F.col("event_type")).alias("event_name"),
             F.col("user_id").alias("user_pseudo_id"),
-            F.lit("page_location").alias("key"),
-            F.col("url").alias("param_value"),
+            F.inline(F.array(*entries)),
         )
 
     def session_numbers(self) -> DataFrame:
@@ -133,8 +143,7 @@ class Tables:
         return number_sessions(self.timed_events().select("event_id", "user_pseudo_id", "event_timestamp")).select(
             "user_pseudo_id",
             "event_id",
-            F.lit("ga_session_number").alias("key"),
-            F.col("session_number").cast("string").alias("param_value"),
+            F.inline(_session_entries()),
         )
 
     def session_start_numbers(self) -> DataFrame:
@@ -142,8 +151,7 @@ class Tables:
         sessions = session_activity(self.timed_events().select("user_pseudo_id", "event_timestamp"))
         return sessions.select(
             "user_pseudo_id",
-            F.lit("ga_session_number").alias("key"),
-            F.col("session_number").cast("string").alias("param_value"),
+            F.inline(_session_entries()),
         )
 
     def items(self) -> DataFrame:
@@ -151,7 +159,7 @@ class Tables:
         return lines.select(
             F.col("l_orderkey").alias("event_timestamp"),
             F.col("p_partkey").alias("item_id"),
-            F.col("p_name").alias("item_name"),
+            F.when(F.col("p_partkey") % 17 != 0, F.col("p_name")).alias("item_name"),
             F.col("p_type").alias("item_category"),
             F.col("l_quantity").cast("long").alias("quantity"),
             F.col("p_retailprice").alias("price_in_usd"),
@@ -217,6 +225,11 @@ class Tables:
             F.col("event_type") != "signup", filled
         )
         user = F.col("user_id")
+        empty = F.lit(None)
+        bought = [
+            F.struct(F.col("event_id").cast("string"), F.lit(name), empty, F.col("value"), F.col("value"), F.lit(n), F.col("value"))
+            for n, name in ((1, "first"), (2, None))
+        ]
         return self.base("events").select(
             F.date_format("ts", "yyyyMMdd").alias("event_date"),
             _micros().alias("event_timestamp"),
@@ -234,7 +247,9 @@ class Tables:
                 F.lit(None).cast("string").alias("name"),
             ).alias("traffic_source"),
             F.struct(_revenue().alias("purchase_revenue_in_usd")).alias("ecommerce"),
-            F.lit(None).cast(schemas.EVENTS_RAW["items"].dataType).alias("items"),
+            F.when(_event_name() == "purchase", F.slice(F.array(*bought), 1, 1 + F.col("event_id").cast("int") % 2))
+            .cast(schemas.EVENTS_RAW["items"].dataType)
+            .alias("items"),
         )
 
     def orders_raw(self) -> DataFrame:
@@ -302,8 +317,10 @@ FROM events""",
 FROM events""",
     "ga_params": """SELECT e.event_id, CAST(e.ts AS date) AS event_date, e.ts AS event_ts,
   CASE WHEN e.event_type = 'view' THEN 'page_view' ELSE e.event_type END AS event_name,
-  e.user_id AS user_pseudo_id, 'page_location' AS key, p.url AS param_value
-FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT COUNT(*) FROM pages)""",
+  e.user_id AS user_pseudo_id, k.key, CASE WHEN k.key = 'ga_session_number' THEN '1'
+    WHEN k.key = 'page_location' AND e.event_id % 11 <> 0 THEN p.url END AS param_value
+FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT COUNT(*) FROM pages)
+CROSS JOIN (VALUES ('page_location'), ('ga_session_number'), ('page_title')) AS k(key)""",
     "page_views": f"""SELECT *, CASE WHEN p0 = '' THEN '/' ELSE p0 END AS page_path
 FROM (SELECT *, {_PATH_SQL.format("param_value")} AS p0 FROM ga_params
       WHERE key = 'page_location' AND event_name = 'page_view' AND param_value IS NOT NULL) t""",
@@ -326,8 +343,8 @@ FROM (SELECT user_id AS user_pseudo_id, event_id, ts AS event_ts,
   min(event_ts) AS first_ts, max(event_ts) AS last_ts, count(*) AS n_events,
   (epoch_us(max(event_ts)) - epoch_us(min(event_ts))) / 1000000.0 AS duration_s
 FROM numbered GROUP BY user_pseudo_id, session_number""",
-    "ga_items": """SELECT l_orderkey AS event_timestamp, p_partkey AS item_id, p_name AS item_name,
-  p_type AS item_category, CAST(l_quantity AS bigint) AS quantity, p_retailprice AS price_in_usd,
+    "ga_items": """SELECT l_orderkey AS event_timestamp, p_partkey AS item_id,
+  CASE WHEN p_partkey % 17 <> 0 THEN p_name END AS item_name, p_type AS item_category, CAST(l_quantity AS bigint) AS quantity, p_retailprice AS price_in_usd,
   l_extendedprice * (1 - l_discount) AS item_revenue_in_usd
 FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "page_categories": f"""SELECT DISTINCT {_PATH_SQL.format("url")} AS page_path,

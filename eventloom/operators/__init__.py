@@ -1,6 +1,6 @@
 """Reusable DataFrame operators that the analyses are made of."""
 
-from eventloom.operators.columns import across, drop_complex, drop_present
+from eventloom.operators.columns import across, drop_complex
 from eventloom.operators.compare import frame_difference
 from eventloom.operators.materialize import collect_limited, compute
 from eventloom.operators.nested import flatten_event_params, flatten_items, flatten_structs, params_for_key

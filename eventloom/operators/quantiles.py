@@ -1,7 +1,9 @@
 """Exact quantiles without collecting a group in one task.
 
-A sketch gives, for every group, a lower and an upper value that are sure to enclose the wanted quantile. A second
-pass counts what lies below and ranks only the enclosed distinct values, a small fixed fraction of the group.
+A sketch gives, for every group, two values that enclose the wanted quantile. What lies below the lower one collapses
+into its count and its largest value, what lies above the upper one into its count and its smallest value, and only the
+enclosed distinct values, a small fraction of the group, are ranked. The collapsed rows tell whether the bounds do
+enclose the quantile; if a sketch ever missed it, the query fails instead of giving another value.
 """
 
 from __future__ import annotations
@@ -10,8 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventloom.workspace import stage
-
 ACCURACY = 10_000
 
 
@@ -20,26 +20,36 @@ def _bounds(rows: DataFrame, by: list[str], probabilities: dict[str, float], acc
     margin = 3.0 / accuracy
     marks = [max(0.0, p - margin) for p in probabilities.values()] + [min(1.0, p + margin) for p in probabilities.values()]
     sketched = rows.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.percentile_approx("value", marks, accuracy).alias("marks"),
+        F.count("value").alias("n"), F.percentile_approx("value", marks, accuracy).alias("marks")
     )
-    # with few rows a margin of the sketch is below one row, too narrow to enclose both neighbours
-    few = F.col("n") <= 4 * accuracy
 
     def target(i: int, name: str, probability: float) -> Column:
         return F.struct(
             F.lit(name).alias("name"),
             ((F.col("n") - 1) * F.lit(float(probability))).alias("position"),
-            F.when(few, F.col("least")).otherwise(F.get("marks", F.lit(i))).alias("low"),
-            F.when(few, F.col("most")).otherwise(F.get("marks", F.lit(i + len(probabilities)))).alias("high"),
+            F.get("marks", F.lit(i)).alias("low"),
+            F.get("marks", F.lit(i + len(probabilities))).alias("high"),
         )
 
     targets = [target(i, name, p) for i, (name, p) in enumerate(probabilities.items())]
     return sketched.select(*by, F.array(*targets).alias("targets"))
 
 
+def _value_at(place: Column) -> Column:
+    """The value at a place (from zero), taken from the row that covers it.
+
+    Of a collapsed row only the end next to the enclosed values is known.
+    """
+    covers = (F.col("upto") > place) & (F.col("upto") - F.col("n") <= place)
+    known = (
+        F.when(F.col("side") == 0, F.col("value"))
+        .when((F.col("side") < 0) & (place == F.col("upto") - 1), F.col("largest"))
+        .when((F.col("side") > 0) & (place == F.col("upto") - F.col("n")), F.col("smallest"))
+        .otherwise(F.raise_error(F.lit("the sketch does not enclose the quantile; raise accuracy")).cast("double"))
+    )
+    return F.max(F.when(covers, known))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -49,32 +59,30 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of ``probabilities`` (name to probability).
 
-    ``df`` is read twice: stage it first when it is expensive to compute.
+    ``df`` is read twice, unless Spark can reuse an exchange below it: stage it first when it is expensive to compute.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
-    bounds = stage(_bounds(rows, by, probabilities, accuracy), "quantile-bounds")
+    bounds = _bounds(rows, by, probabilities, accuracy)
     if by:
         same = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
         enclosed = rows.alias("r").join(bounds.alias("b"), same).select("r.*", "b.targets")
     else:
-        enclosed = rows.withColumn("targets", bounds.scalar())
+        enclosed = rows.withColumn("targets", bounds.select("targets").scalar())
     keys = [*by, "name", "position"]
-    # everything below the lower bound collapses into one row with a NULL value before the shuffle
+    side = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
     counted = (
         enclosed.select(*by, "value", F.inline("targets"))
-        .where(F.col("value") <= F.col("high"))
-        .withColumn("value", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, side.alias("side"), "value", F.when(side == 0, F.col("value")).alias("each"))
+        .groupBy(*keys, "side", "each")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("largest"), F.min("value").alias("smallest"))
+        .withColumnRenamed("each", "value")
     )
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("value")))
-    at_floor = F.when(F.col("upto") > F.floor("position"), F.col("value"))
-    at_ceiling = F.when(F.col("upto") > F.ceil("position"), F.col("value"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("side", "value"))
     picked = (
         counted.withColumn("upto", upto)
         .groupBy(*keys)
-        .agg(F.min(at_floor).alias("lower"), F.min(at_ceiling).alias("upper"))
+        .agg(_value_at(F.floor("position")).alias("lower"), _value_at(F.ceil("position")).alias("upper"))
     )
     fraction = F.col("position") - F.floor("position")
     quantile = F.col("lower") + fraction * (F.col("upper") - F.col("lower"))

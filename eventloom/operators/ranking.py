@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventloom.workspace import stage
-
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank_name: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank.
@@ -22,11 +20,10 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
 def with_total(grouped: DataFrame, value: str, name: str) -> DataFrame:
     """Add the grand total of ``value`` to each row of an already grouped frame.
 
-    The grouped rows are staged, so the expensive aggregation below runs once, and the total is a scalar subquery:
-    no join, and no window that pulls all groups into one task.
+    The total is a scalar subquery over the same grouping: no join, and no window that pulls all groups into one task.
+    Nothing runs before the result is asked for; Spark reuses the exchange of the grouping, so it runs once.
     """
-    rows = stage(grouped, "grouped")
-    return rows.withColumn(name, rows.agg(F.sum(value)).scalar())
+    return grouped.withColumn(name, grouped.agg(F.sum(value)).scalar())
 
 
 def share_of_total(grouped: DataFrame, value: str, name: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from eventloom.operators.quantiles import exact_quantiles
 from eventloom.operators.ranking import top_per_group
-from eventloom.workspace import stage
 
 
 def with_duration(sessions: DataFrame) -> DataFrame:
@@ -16,7 +15,7 @@ def with_duration(sessions: DataFrame) -> DataFrame:
 
 def p99_session_duration(sessions: DataFrame, by: str = "device_category") -> DataFrame:
     """Number of sessions and the 99th percentile of their length per device."""
-    lengths = stage(with_duration(sessions).select(by, "duration_s"), "session-lengths")
+    lengths = with_duration(sessions).select(by, "duration_s")
     counts = lengths.groupBy(by).agg(F.count(F.lit(1)).alias("sessions"))
     p99 = exact_quantiles(lengths, "duration_s", {"p99_duration_s": 0.99}, by=[by])
     same = counts[by].eqNullSafe(p99[by])

@@ -30,7 +30,6 @@ def tune(spark: SparkSession) -> SparkSession:
 
 MEGABYTE = 1 << 20
 SHUFFLE_PARTITION_BYTES = 128 * MEGABYTE
-MOST_SHUFFLE_PARTITIONS = 10_000
 MOST_SCAN_TASKS = 100_000
 LARGEST_SPLIT = 1024 * MEGABYTE
 
@@ -42,7 +41,7 @@ def fit_to_input(spark: SparkSession, input_bytes: int) -> None:
     starts from a count that grows with the input. Very large inputs get larger splits: scans read a few columns of
     each, and the number of scan tasks times shuffle partitions has to stay manageable. Settings are never lowered.
     """
-    partitions = min(input_bytes // SHUFFLE_PARTITION_BYTES, MOST_SHUFFLE_PARTITIONS)
+    partitions = input_bytes // SHUFFLE_PARTITION_BYTES
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if partitions > current:

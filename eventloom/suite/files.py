@@ -11,7 +11,7 @@ from eventloom.fixtures import Tables
 from eventloom.plans import checkouts, pages, quality, sales
 from eventloom.sources import (
     day_plan,
-    folder_files,
+    convert,
     read_csv,
     read_day_range,
     read_file_list,
@@ -20,6 +20,7 @@ from eventloom.sources import (
     read_orc,
     read_parquet,
     read_partitioned,
+    union_all_by_name,
     write_parquet,
     write_partitioned,
 )
@@ -154,10 +155,83 @@ def roundtrip_year_month(t: Tables) -> DataFrame:
     return rounded(grouped.agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")), 2, "total")
 
 
-@query("layout_check")
+@query(
+    "layout_check",
+    "",
+    """SELECT folder, count(*) AS n_files, count(*) FILTER (length < 20971520) AS too_small,
+  count(*) FILTER (length > 2147483648) AS too_large, CAST(sum(length) AS bigint) AS bytes,
+  CASE WHEN count(*) >= 10000 THEN 'too many files: partition by fewer columns or rebalance'
+    WHEN count(*) FILTER (length > 2147483648) > 0 THEN 'large files: limit the rows per file'
+    WHEN count(*) FILTER (length < 20971520) > 0 AND count(*) > 1 THEN 'small files: rebalance before writing' ELSE 'ok' END AS advice
+FROM (SELECT source AS folder, n_chars * 20000 AS length FROM documents) f GROUP BY folder""",
+)
 def layout_check(t: Tables) -> DataFrame:
-    """Advice on the file sizes of a partitioned copy; paths and sizes are not visible to SQL."""
-    return quality.layout_check(folder_files(t.spark, file_copy(t, "checkouts_by_year")))
+    """Advice on file sizes, over a size table as wide as real listings are."""
+    sizes = t.base("documents").select(
+        F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("path"), (F.col("n_chars") * 20000).alias("length")
+    )
+    return quality.layout_check(sizes)
+
+
+@query(
+    "file_counts",
+    "",
+    """SELECT 'years' AS description, count(DISTINCT year(l_shipdate)) AS n_files,
+  count(DISTINCT year(l_shipdate)) || ' files' AS status FROM lineitem
+UNION ALL SELECT 'absent', 0, 'folder missing'""",
+)
+def file_counts(t: Tables) -> DataFrame:
+    """Files per folder: a copy with one file per year, and a folder that is not there."""
+    years = file_copy(t, "checkouts_by_year")
+    folders = {years: "years", f"{years}-absent": "absent"}
+    counted = quality.file_counts(t.spark, folders, expected=1)
+    return counted.select("description", "n_files", "status")
+
+
+@query(
+    "storage_summary",
+    "",
+    """SELECT folder, n_files FROM (SELECT 'years' AS folder, count(DISTINCT year(l_shipdate)) AS n_files FROM lineitem) y
+UNION ALL SELECT 'total', count(DISTINCT year(l_shipdate)) FROM lineitem""",
+)
+def storage_summary(t: Tables) -> DataFrame:
+    """Files per folder and over all; sizes depend on the writer and are only checked to be there."""
+    summary = quality.storage_summary(t.spark, [file_copy(t, "checkouts_by_year")]).where("size_mb >= 0")
+    return summary.select(F.when(F.col("folder") == "total", "total").otherwise("years").alias("folder"), "n_files")
+
+
+CODECS = ("snappy", "gzip", "zstd", "lz4", "none")
+
+
+@query(
+    "roundtrip_codecs",
+    "",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS codec, count(*) AS n, CAST(sum(event_id) AS bigint) AS ids FROM events" for c in CODECS
+    ),
+)
+def roundtrip_codecs(t: Tables) -> DataFrame:
+    """The same table written with each codec and read back."""
+    root, parts = new_folder(t.spark, "codecs"), []
+    for codec in CODECS:
+        write_parquet(t.base("events").select("event_id"), f"{root}/{codec}", compression=codec)
+        back = read_parquet(t.spark, f"{root}/{codec}")
+        parts.append(back.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")).select(F.lit(codec).alias("codec"), "n", "ids"))
+    return union_all_by_name(parts)
+
+
+@query(
+    "csv_to_parquet",
+    "checkouts",
+    "SELECT MaterialType, count(*) AS n, CAST(sum(Checkouts) AS bigint) AS checkouts FROM checkouts GROUP BY 1",
+)
+def csv_to_parquet(t: Tables) -> DataFrame:
+    """A CSV converted to Parquet, read from there."""
+    folder = new_folder(t.spark, "converted")
+    convert(read_csv(t.spark, file_copy(t, "checkouts_csv"), CHECKOUT_SCHEMA), folder)
+    return read_parquet(t.spark, folder).groupBy("MaterialType").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Checkouts").alias("checkouts")
+    )
 
 
 @query(
@@ -166,8 +240,9 @@ def layout_check(t: Tables) -> DataFrame:
     DAILY_SQL.replace("GROUP", "WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP"),
 )
 def scan_day_range(t: Tables) -> DataFrame:
-    root = file_copy(t, "events_by_day")
-    return _per_day(read_day_range(t.spark, root, dt.date(2024, 1, 8), dt.date(2024, 1, 14)))
+    """A range of days; a folder of unfinished rows of one of them lies next to it and is not read."""
+    root = file_copy(t, "days_and_intraday")
+    return _per_day(read_day_range(t.spark, root, dt.date(2024, 1, 8), dt.date(2024, 1, 14), prefix="day="))
 
 
 @query(
@@ -210,18 +285,27 @@ def page_category_counts(t: Tables) -> DataFrame:
     "ga_events",
     """SELECT strftime(event_date, '%Y%m%d') AS event_date, count(*) AS events,
   4 * count(CASE WHEN event_type NOT IN ('error', 'signup') THEN 1 END) AS params,
-  round(sum(ecommerce_purchase_revenue_in_usd), 2) AS revenue
+  round(sum(ecommerce_purchase_revenue_in_usd), 2) AS revenue,
+  CAST(sum(1 + event_id % 2) FILTER (event_name = 'purchase') AS BIGINT) AS items,
+  NULLIF(count(*) FILTER (event_name = 'purchase'), 0) AS named_items,
+  round(sum((1 + event_id % 2) * ecommerce_purchase_revenue_in_usd) FILTER (event_name = 'purchase'), 2) AS item_revenue
 FROM ga_events JOIN (SELECT event_id, event_type FROM events) k USING (event_id) GROUP BY 1""",
 )
 def streaming_ingest(t: Tables) -> DataFrame:
     """Nested day files through the incremental ingest; a second run must not add anything."""
     raw, target = new_folder(t.spark, "raw"), new_folder(t.spark, "ingested")
     write_partitioned(t.events_raw().withColumn("day", F.col("event_date")), raw, ["day"])
-    ingest = DailyIngest(t.spark, raw, target)
+    ingest = DailyIngest(t.spark, raw, target, prefix="day=")
     ingest.run()
     ingest.run()
     events = ingest.table("events").groupBy("event_date").agg(
         F.count(F.lit(1)).alias("events"), F.sum("ecommerce_purchase_revenue_in_usd").alias("revenue")
     )
     params = ingest.table("params").groupBy("event_date").agg(F.count(F.lit(1)).alias("params"))
-    return rounded(events.join(params, "event_date", "left"), 2, "revenue")
+    items = ingest.table("items").groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count("item_name").alias("named_items"),
+        F.sum("item_revenue_in_usd").alias("item_revenue"),
+    )
+    both = events.join(params, "event_date", "left").join(items, "event_date", "left")
+    return rounded(both, 2, "revenue", "item_revenue")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +14,7 @@ from eventloom.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-_COPIES: dict[tuple[str, str, str], str] = {}
+_COPIES: WeakKeyDictionary[SparkSession, dict[tuple[str, str], str]] = WeakKeyDictionary()
 
 
 def query(name: str, ctes: str = "", sql: str | None = None):
@@ -38,6 +39,16 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def taken_from(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Number of rows, and of rows that the table holds."""
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in rows.columns]
+    found = rows.alias("a").join(table.distinct().alias("b"), same, "left_semi")
+    counts = rows.select(F.lit(0).alias("of_table")).unionAll(found.select(F.lit(1)))
+    return counts.agg(
+        F.count_if(F.col("of_table") == 0).cast("int").alias("n"), F.count_if(F.col("of_table") == 1).cast("int").alias("n_of_table")
+    )
+
+
 # Column types of the Parquet copies of the checkouts.
 CHECKOUT_COPY_SCHEMA = (
     "MaterialType string, CheckoutYear int, CheckoutMonth int, Checkouts bigint, Title string, ISBN string, Creator string"
@@ -58,6 +69,12 @@ def _daily_events(t: Tables) -> DataFrame:
     return t.events().withColumn("day", F.date_format("event_date", "yyyyMMdd"))
 
 
+def _write_days(t: Tables, path: str) -> None:
+    """One folder per day, and one whose name holds a day but is not that day's."""
+    write_partitioned(_daily_events(t), path, ["day"])
+    write_parquet(t.events().where(F.col("event_date") == "2024-01-10"), f"{path}/day=intraday_20240110")
+
+
 # How each file copy of the test tables is written.
 _WRITERS: dict[str, Callable[[Tables, str], None]] = {
     "checkouts_csv": lambda t, path: convert(_checkout_file(t), path, "csv"),
@@ -65,15 +82,16 @@ _WRITERS: dict[str, Callable[[Tables, str], None]] = {
     "checkouts_by_year": lambda t, path: write_partitioned(_checkout_file(t), path, ["CheckoutYear"]),
     "sales_json": lambda t, path: convert(_sales_file(t), path, "json"),
     "sales_orc": lambda t, path: convert(_sales_file(t), path, "orc"),
+    "days_and_intraday": _write_days,
     "events_by_day": lambda t, path: write_partitioned(_daily_events(t), path, ["day"]),
 }
 
 
 def file_copy(t: Tables, kind: str) -> str:
     """Path of a copy of a test table in another layout, written once per session."""
-    key = (t.spark.sparkContext.applicationId, t.folder, kind)
-    if key not in _COPIES:
+    known, key = _COPIES.setdefault(t.spark, {}), (t.folder, kind)
+    if key not in known:
         path = new_folder(t.spark, kind)
         _WRITERS[kind](t, path)
-        _COPIES[key] = path
-    return _COPIES[key]
+        known[key] = path
+    return known[key]

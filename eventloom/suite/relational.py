@@ -12,7 +12,7 @@ from eventloom.operators import across, drop_complex, session_activity, share_of
 from eventloom.operators.columns import is_numeric
 from eventloom.plans import checkouts, engagement, events, pages, products, traffic
 from eventloom.sources import union_all_by_name
-from eventloom.suite.registry import query, rounded
+from eventloom.suite.registry import taken_from, query, rounded
 
 
 def _count(name: str = "n"):
@@ -181,14 +181,15 @@ def p99_session_duration(t: Tables) -> DataFrame:
 
 @query(
     "bounce_rate",
-    "ga_params numbered",
+    "numbered",
     r"""SELECT page_path, count(*) AS sessions, count(CASE WHEN events = 1 THEN 1 END) AS bounces,
   count(CASE WHEN events = 1 THEN 1 END) * CAST(1.0 AS double) / count(*) AS bounce_rate
 FROM (SELECT user_pseudo_id, session_number, count(*) AS events, arg_min(path, event_id) AS page_path
       FROM (SELECT n.user_pseudo_id, n.session_number, n.event_id,
               CASE WHEN p.p0 = '' THEN '/' ELSE p.p0 END AS path
-            FROM numbered n JOIN (SELECT event_id, regexp_replace(regexp_replace(regexp_replace(param_value,
-                '^https?://[^/]+', ''), '\?.*$', ''), '#.*$', '') AS p0 FROM ga_params) p USING (event_id)) x
+            FROM numbered n JOIN (SELECT event_id, regexp_replace(regexp_replace(regexp_replace(url,
+                '^https?://[^/]+', ''), '\?.*$', ''), '#.*$', '') AS p0
+              FROM events JOIN pages ON page_id = event_id % (SELECT count(*) FROM pages)) p USING (event_id)) x
       GROUP BY 1, 2) s GROUP BY 1""",
 )
 def bounce_rate(t: Tables) -> DataFrame:
@@ -206,7 +207,7 @@ def bounce_rate(t: Tables) -> DataFrame:
     "category_share",
     "ga_items",
     """SELECT item_category, units, units / CAST(sum(units) OVER () AS double) AS units_pct
-FROM (SELECT item_category, CAST(sum(quantity) AS bigint) AS units FROM ga_items GROUP BY 1) c""",
+FROM (SELECT item_category, CAST(sum(quantity) AS bigint) AS units FROM ga_items WHERE item_name IS NOT NULL GROUP BY 1) c""",
 )
 def category_share(t: Tables) -> DataFrame:
     totals = products.category_totals(t.items()).select("item_category", "units")
@@ -255,17 +256,37 @@ def top_page_per_section(t: Tables) -> DataFrame:
 @query(
     "order_mixed",
     "checkouts",
-    """SELECT CheckoutYear, CheckoutMonth, CAST(sum(Checkouts) AS bigint) AS TotalCheckouts
-FROM checkouts WHERE CheckoutYear >= 1998 AND MaterialType = 'BOOK' GROUP BY 1, 2""",
+    """SELECT CheckoutYear, CheckoutMonth, TotalCheckouts, CAST(row_number() OVER (
+    ORDER BY CheckoutYear DESC NULLS LAST, CheckoutMonth ASC NULLS FIRST) AS integer) AS position
+FROM (SELECT CASE WHEN CheckoutYear <> 1999 THEN CheckoutYear END AS CheckoutYear,
+        CASE WHEN CheckoutMonth <> 2 THEN CheckoutMonth END AS CheckoutMonth, CAST(sum(Checkouts) AS bigint) AS TotalCheckouts
+      FROM checkouts WHERE CheckoutYear >= 1998 AND MaterialType = 'BOOK' GROUP BY 1, 2) m""",
 )
 def order_mixed(t: Tables) -> DataFrame:
-    return checkouts.books_by_month(t.checkouts(), 1998).orderBy(F.desc("CheckoutYear"), "CheckoutMonth")
+    """Two directions and two places for NULL; the position makes the order a value that can be compared."""
+    gaps = t.checkouts().withColumns(
+        {
+            "CheckoutYear": F.col("CheckoutYear").cast("int"),
+            "open_year": F.when(F.col("CheckoutYear") != 1999, F.col("CheckoutYear").cast("int")),
+            "open_month": F.when(F.col("CheckoutMonth") != 2, F.col("CheckoutMonth").cast("int")),
+        }
+    )
+    months = (
+        gaps.where((F.col("CheckoutYear") >= 1998) & (F.col("MaterialType") == "BOOK"))
+        .groupBy(F.col("open_year").alias("CheckoutYear"), F.col("open_month").alias("CheckoutMonth"))
+        .agg(F.sum("Checkouts").alias("TotalCheckouts"))
+    )
+    ordered = months.orderBy(F.desc_nulls_last("CheckoutYear"), F.asc_nulls_first("CheckoutMonth"))
+    # a year has twelve months: the sorted rows are few, and they are numbered as they come
+    listed = ordered.agg(F.collect_list(F.struct("CheckoutYear", "CheckoutMonth", "TotalCheckouts")).alias("rows"))
+    return listed.select(F.posexplode("rows")).select("col.*", (F.col("pos") + 1).alias("position"))
 
 
-@query("head_unsorted")
+@query("head_unsorted", "checkouts", "SELECT 20 AS n, 20 AS n_of_table")
 def head_unsorted(t: Tables) -> DataFrame:
-    """Any twenty rows."""
-    return checkouts.is_book(t.checkouts()).limit(20)
+    """Any twenty rows: how many they are, and how many of them are rows of the table."""
+    books = checkouts.is_book(t.checkouts())
+    return taken_from(books.limit(20), books)
 
 
 @query(

@@ -30,8 +30,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once and return a DataFrame over the written files."""
+    """Write ``df`` once and return a DataFrame over the written files; ``discard`` removes them."""
     spark = df.sparkSession
     folder = new_folder(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    staged = spark.read.schema(df.schema).parquet(folder)
+    staged.staged_folder = folder
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove the files of staged tables that nothing reads any more."""
+    for table in staged:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -27,6 +27,20 @@ def test_tables_and_views(spark):
     ):
         with pytest.raises(ReadOnlyError):
             write()
+    for text in (
+        "WITH x AS (SELECT * FROM shop.a) INSERT INTO shop.a SELECT * FROM x",
+        "/* SELECT */ INSERT INTO shop.a VALUES (1)",
+        "FROM shop.a INSERT INTO shop.a SELECT k INSERT INTO shop.b SELECT k",
+        "CREATE TABLE shop.c AS SELECT 1 AS k",
+        "TRUNCATE TABLE shop.a",
+        "SET x = y",
+    ):
+        with pytest.raises(ReadOnlyError):
+            reader.sql(text)
+    assert reader.table("a").count() == 10
+    for text in ("-- note\nSELECT 1", "\tVALUES (1), (2)", "EXPLAIN SELECT 1", "SHOW TABLES IN shop", "WITH x AS (SELECT 1) SELECT * FROM x"):
+        assert reader.sql(text).count()
+    assert reader.sql("SELECT count(*) AS n FROM {f}", f=spark.range(4)).first().n == 4
     catalog.drop_table("b")
     assert catalog.tables() == ["a"]
 

@@ -1,4 +1,6 @@
-"""Incremental ingest: re-run, new day, late file, replay, failing day, vanished items."""
+"""Incremental ingest: re-run, new day, late file, replay, failing day, vanished items, further columns, odd names."""
+
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from eventloom import schemas
 from eventloom.plans import quality
 from eventloom.streaming import DailyIngest
+from eventloom.streaming.ingest import IngestError
 from tests.conftest import rows
 
 ITEM = ("i1", "Shirt", "Apparel", 10.0, 9.0, 2, 18.0)
@@ -65,18 +68,24 @@ def test_failing_day_does_not_stop_the_others(spark, ingest):
     day_file(spark, ingest.raw, "20240102", range(1))
     with open(f"{ingest.raw}/events_20240102/broken.parquet", "wb") as file:
         file.write(b"not a parquet file at all")
-    ingest.run()
+    with pytest.raises(IngestError, match="20240102"):
+        ingest.run()
     assert counts(ingest) == {"20240101": 3}
     latest = quality.latest_log(ingest.log())
     assert rows(latest.select("day", "status")) == [("20240101", "success"), ("20240102", "error")]
-    assert quality.ingest_failures(latest).first().error
+    assert len(quality.ingest_failures(latest).first().error) > 100
+    # the broken file goes away: no new file, but the day is loaded by the next run
+    os.remove(f"{ingest.raw}/events_20240102/broken.parquet")
+    ingest.run()
+    assert counts(ingest) == {"20240101": 3, "20240102": 1}
 
 
 def test_rows_of_another_day_fail(spark, ingest):
     day_file(spark, ingest.raw, "20240101", range(3))
     other = spark.read.schema(schemas.EVENTS_RAW).parquet(f"{ingest.raw}/events_20240101")
     other.withColumn("event_date", F.lit("20231231")).write.parquet(f"{ingest.raw}/events_20240105")
-    ingest.run()
+    with pytest.raises(IngestError):
+        ingest.run()
     assert counts(ingest) == {"20240101": 3}
     assert rows(quality.ingest_failures(quality.latest_log(ingest.log())).select("day")) == [("20240105",)]
 
@@ -92,8 +101,8 @@ def test_day_that_loses_its_items(spark, ingest, tmp_path):
     assert counts(ingest) == {"20240101": 3, "20240102": 2}
 
 
-def test_large_raw_files_are_written_without_a_shuffle(spark, tmp_path):
-    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), large_file_bytes=1)
+def test_large_raw_files_can_be_written_without_a_shuffle(spark, tmp_path):
+    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), rebalance=False)
     day_file(spark, ingest.raw, "20240101", range(3))
     day_file(spark, ingest.raw, "20240102", range(4))
     ingest.run()
@@ -117,3 +126,66 @@ def test_schema_drift(spark, ingest):
     ingest.run()
     assert counts(ingest) == {"20240101": 2, "20240102": 1}
     assert rows(ingest.table("params").where("event_date = '20240102'").select("key", "param_value")) == [("k", "text")]
+
+
+def test_all_columns_of_a_day_are_kept(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(2))
+    more = spark.createDataFrame(
+        [("20240102", 5, "purchase", "u", "web", 7, ("Fiji", "Suva"), [("i9", 4.0, "blue")])],
+        "event_date string, event_timestamp long, event_name string, user_pseudo_id string, platform string, batch int,"
+        " geo struct<country:string,city:string>, items array<struct<item_id:string,price:double,item_variant:string>>",
+    )
+    more.write.parquet(f"{ingest.raw}/events_20240102")
+    ingest.run()
+    events = ingest.table("events")
+    assert dict(events.dtypes)["batch"] == "bigint"
+    assert rows(events.where("event_date = '20240102'").select("platform", "geo_city", "geo_country", "batch")) == [
+        ("web", "Suva", "Fiji", 7)
+    ]
+    assert events.where("platform IS NULL AND event_date = '20240101'").count() == 2
+    assert rows(ingest.table("items").where("event_date = '20240102'").select("item_id", "price", "item_variant")) == [
+        ("i9", 4.0, "blue")
+    ]
+
+
+def test_half_written_day_is_not_visible(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    clash = spark.createDataFrame(
+        [("20240102", 5, "purchase", "u", [("i", "not a price")])] * 2,
+        "event_date string, event_timestamp long, event_name string, user_pseudo_id string,"
+        " items array<struct<item_id:string,price:string>>",
+    )
+    clash.write.parquet(f"{ingest.raw}/events_20240102")
+    with pytest.raises(IngestError):
+        ingest.run()
+    assert counts(ingest) == counts(ingest, "params") == counts(ingest, "items") == {"20240101": 3}
+
+
+def test_a_day_is_built_once_per_run(spark, tmp_path):
+    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), files_per_batch=2)
+    for k in range(6):
+        day_file(spark, ingest.raw, "20240101", [k])
+    ingest.run()
+    assert counts(ingest) == {"20240101": 6}
+    assert ingest.log().where("status = 'success'").count() == 1
+
+
+def test_names_that_are_no_day_are_logged(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    for other in ("latest", "intraday_20240101", "202401019"):
+        day_file(spark, ingest.raw, other, range(5))
+    ingest.run()
+    assert counts(ingest) == {"20240101": 3}
+    assert {r.day for r in quality.ingest_failures(ingest.log()).collect()} == {
+        "events_latest", "events_intraday_20240101", "events_202401019"
+    }
+
+
+def test_requested_days_that_are_there_are_skipped(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    day_file(spark, ingest.raw, "20240102", range(2))
+    ingest.request(["20240101"])
+    ingest.request(["20240101", "20240102"])
+    latest = quality.latest_log(ingest.log())
+    assert rows(latest.select("day", "status")) == [("20240101", "skipped"), ("20240102", "success")]
+    assert counts(ingest) == {"20240101": 3, "20240102": 2}

@@ -14,9 +14,9 @@ def test_settings_grow_with_the_input_and_never_shrink(spark):
     fit_to_input(fresh, 1 << 40)
     assert fresh.conf.get(INITIAL) == "8192"
     fit_to_input(fresh, 100 << 40)
-    assert fresh.conf.get(INITIAL) == "10000" and fresh.conf.get(SPLIT) == f"{1 << 30}b"
+    assert fresh.conf.get(INITIAL) == str(100 << 40 >> 27) and fresh.conf.get(SPLIT) == f"{1 << 30}b"
     fit_to_input(fresh, 10 << 20)
-    assert fresh.conf.get(INITIAL) == "10000" and fresh.conf.get(SPLIT) == f"{1 << 30}b"
+    assert fresh.conf.get(INITIAL) == str(100 << 40 >> 27) and fresh.conf.get(SPLIT) == f"{1 << 30}b"
 
 
 def test_split_between_the_bounds(spark):

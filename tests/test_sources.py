@@ -66,7 +66,7 @@ def test_codecs(spark, events, tmp_path, codec):
 def test_csv_with_type_override(spark, tmp_path):
     file = tmp_path / "c.csv"
     file.write_text("n,isbn\n" + "".join(f"{i},\n" for i in range(50)) + "50,0012\n")
-    wide = sources.read_csv_inferred(spark, str(file), {"isbn": T.StringType()}, sample=1.0)
+    wide = sources.read_csv_inferred(spark, str(file), {"isbn": T.StringType()})
     assert dict(wide.dtypes) == {"n": "int", "isbn": "string"}
     assert wide.where("n = 50").first().isbn == "0012"
     strict = sources.read_csv(spark, str(file), T.StructType().add("n", "integer").add("isbn", "string"))
@@ -85,20 +85,39 @@ def test_file_list_and_glob(spark, events, tmp_path):
 def test_day_range_reads_only_those_days(spark, events, tmp_path):
     path = str(tmp_path / "p")
     sources.write_partitioned(events, path, ["day"])
-    some = sources.read_day_range(spark, path, dt.date(2024, 1, 2), dt.date(2024, 1, 9))
+    some = sources.read_day_range(spark, path, dt.date(2024, 1, 2), dt.date(2024, 1, 9), prefix="day=")
     assert some.count() == 75
     assert not any("day=20240101" in f for f in some.inputFiles())
     schema = T.StructType().add("id", "long")
-    assert sources.read_day_range(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2), schema).count() == 0
+    assert sources.read_day_range(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2), schema, "day=").count() == 0
     with pytest.raises(FileNotFoundError):
-        sources.read_day_range(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2))
+        sources.read_day_range(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2), prefix="day=")
+
+
+def test_day_names_match_as_a_whole(spark, tmp_path):
+    for name in ("events_20240101", "events_20240102.parquet", "events_intraday_20240101", "events_202401031", "events_latest"):
+        spark.range(2).write.parquet(str(tmp_path / name))
+    found = sources.list_day_paths(spark, str(tmp_path))
+    assert sorted(found) == ["20240101", "20240102"] and all(len(paths) == 1 for paths in found.values())
+    assert sources.read_day_range(spark, str(tmp_path), dt.date(2024, 1, 1), dt.date(2024, 1, 31)).count() == 4
+    assert sources.read_days(spark, str(tmp_path), ["20240101"], prefix="events_intraday_").count() == 2
+
+
+def test_inference_sees_every_row(spark, tmp_path):
+    path = str(tmp_path / "c.csv")
+    with open(path, "w") as file:
+        file.write("a,b\n" + "".join(f"{i},{i}\n" for i in range(5000)) + "12A,1\n")
+    df = sources.read_csv_inferred(spark, path)
+    assert dict(df.dtypes) == {"a": "string", "b": "int"} and df.where("a = '12A'").count() == 1
+    with pytest.raises(Exception, match="12A"):
+        sources.read_csv_inferred(spark, path, {"a": T.IntegerType()}).collect()
 
 
 def test_day_plan(spark, events, tmp_path):
     path = str(tmp_path / "p")
     sources.write_partitioned(events, path, ["day"])
     requested = calendar(spark, dt.date(2023, 12, 30), dt.date(2024, 1, 5))
-    present, missing = sources.day_plan(requested, sources.available_days(spark, path))
+    present, missing = sources.day_plan(requested, sources.available_days(spark, path, "day="))
     assert [r.day for r in present.orderBy("day").collect()] == ["20240101", "20240102", "20240103", "20240104"]
     assert [r.day for r in missing.orderBy("day").collect()] == ["20231230", "20231231", "20240105"]
 
