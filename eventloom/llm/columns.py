@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,8 +46,10 @@ def release(spark: SparkSession) -> None:
     They go when the driver's garbage collector finds their last reference gone, which on a large heap may be hours
     later; the steps of one operator would then add up on the executors' disks.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first pass finds unused lets go of the rest
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

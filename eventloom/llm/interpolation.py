@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from eventloom.llm.columns import staged
+from eventloom.llm.columns import release, staged
 from eventloom.llm.words import mix, slices, split_words
 
 _END, _START = np.uint64(0x3C6EF372FE94F82B), np.uint64(0x510E527FADE682D1)
@@ -34,8 +34,8 @@ _NONE = 1023  # the code of probability 0
 class Params:
     """``block_tokens`` and ``range_grams`` bound what a task holds; ``rounds`` and ``precision`` end EM."""
 
-    block_tokens: int = 1_500_000
-    range_grams: int = 1_500_000
+    block_tokens: int = 1_000_000
+    range_grams: int = 1_000_000
     rounds: int = 500
     precision: float = 1e-7
     least_weight: float = 1e-9
@@ -352,6 +352,7 @@ def scored(
         lean.join(replies, "block").mapInArrow(_held_out(n), "cell bigint, times bigint")
         .groupBy("cell").agg(F.sum("times").alias("times")).collect()
     )
+    release(docs.sparkSession)
     weights = learn_weights([tuple(c) for c in cells], v, p)
     full = blocks.select("block", "keys", "held", "lengths", "vocabulary", "tokens").join(replies, "block")
     return full.mapInArrow(
