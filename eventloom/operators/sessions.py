@@ -30,11 +30,13 @@ def _numbered_slots(slots: DataFrame, user: str, gap_micros: int) -> DataFrame:
     ).drop("starts")
 
 
-def _slots(events: DataFrame, user: str, micros: str, gap_micros: int, extra: Sequence[Column]) -> DataFrame:
+def _slots(
+    events: DataFrame, user: str, micros: str, gap_micros: int, extra: Sequence[Column], per_user: Sequence[str] = ()
+) -> DataFrame:
     return (
         events.where(F.col(user).isNotNull() & F.col(micros).isNotNull())
         .withColumn("slot", _slot(F.col(micros), gap_micros))
-        .groupBy(user, "slot")
+        .groupBy(user, *per_user, "slot")
         .agg(F.min(micros).alias("first_us"), F.max(micros).alias("last_us"), F.count(F.lit(1)).alias("n"), *extra)
     )
 
@@ -46,23 +48,26 @@ def session_activity(
     keep_first: Sequence[str] = (),
     order_by: Sequence[str] = (),
     gap_minutes: int = GAP_MINUTES,
+    per_user: Sequence[str] = (),
 ) -> DataFrame:
     """One row per gap session: number, first and last microsecond, number of events.
 
     ``keep_first`` columns take their value from the first event of the session, by time and then ``order_by``.
-    Raw events are never shuffled: they are reduced to slot summaries on the map side first.
+    ``per_user`` columns have one value per user and cost nothing; the first event is a minimum over a struct, which
+    Spark finds by sorting the events of each map task. Raw events are never shuffled: they are reduced to slot
+    summaries on the map side first.
     """
     gap_micros = gap_minutes * 60_000_000
     rank = F.struct(F.col(micros), *[F.col(c) for c in order_by])
     first_event = [F.min(F.struct(rank.alias("rank"), *[F.col(c) for c in keep_first])).alias("first_event")]
-    slots = _slots(events, user, micros, gap_micros, first_event if keep_first else [])
+    slots = _slots(events, user, micros, gap_micros, first_event if keep_first else [], per_user)
     numbered = _numbered_slots(slots, user, gap_micros)
     first = [F.min("first_event").alias("first_event")] if keep_first else []
-    sessions = numbered.groupBy(user, "session_number").agg(
+    sessions = numbered.groupBy(user, *per_user, "session_number").agg(
         F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.sum("n").alias("events"), *first
     )
     return sessions.select(
-        user, "session_number", "first_us", "last_us", "events", *[F.col(f"first_event.{c}") for c in keep_first]
+        user, *per_user, "session_number", "first_us", "last_us", "events", *[F.col(f"first_event.{c}") for c in keep_first]
     )
 
 

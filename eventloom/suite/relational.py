@@ -175,7 +175,7 @@ def pivot_events(t: Tables) -> DataFrame:
 FROM gap_sessions GROUP BY 1""",
 )
 def p99_session_duration(t: Tables) -> DataFrame:
-    sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
+    sessions = session_activity(t.timed_events(), per_user=["device_category"])
     return rounded(engagement.p99_session_duration(sessions), 4, "p99_duration_s")
 
 
@@ -223,7 +223,7 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY device_category
 WHERE rank <= 3""".replace("session_number, n_events", "CAST(session_number AS bigint) AS session_number, n_events"),
 )
 def session_rank(t: Tables) -> DataFrame:
-    sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
+    sessions = session_activity(t.timed_events(), per_user=["device_category"])
     ranked = engagement.longest_sessions(sessions).drop("first_us", "last_us")
     return rounded(ranked, 6, "duration_s")
 
@@ -236,7 +236,7 @@ FROM (SELECT device_category, (epoch_us(first_ts) - lag(epoch_us(last_ts)) OVER
         ORDER BY session_number)) / 1000000.0 AS pause_s FROM gap_sessions) g GROUP BY 1""",
 )
 def session_lag(t: Tables) -> DataFrame:
-    sessions = session_activity(t.timed_events(), keep_first=["device_category"], order_by=["event_id"])
+    sessions = session_activity(t.timed_events(), per_user=["device_category"])
     return rounded(engagement.return_times(sessions), 3, "mean_pause_s")
 
 

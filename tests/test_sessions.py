@@ -90,6 +90,8 @@ def test_events_are_reduced_before_the_shuffle(spark):
     df = spark.range(1000).select(
         F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_pseudo_id"), (F.col("id") * 1000).alias("event_timestamp")
     )
+    text = plan(session_activity(df.withColumn("device", F.concat(F.lit("x"), "user_pseudo_id")), per_user=["device"]))
+    assert "SortAggregate" not in text
     text = plan(session_activity(df))
     deepest = text[text.rindex("Exchange hashpartitioning") :]
     assert "partial_min(event_timestamp" in deepest and "Window" not in deepest
