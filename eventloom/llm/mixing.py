@@ -17,18 +17,18 @@ _STEPS = 1 << 52
 def ranked(sources: DataFrame, source: str) -> DataFrame:
     """Distinct values numbered from 0 by code point, NULL last, as ``rank``.
 
-    The values are range-partitioned and each partition numbers its own; the partitions' offsets are one row each, so
-    no task sees all values.
+    The values are range-partitioned and each partition numbers its own, so no task sees all values; the driver adds up
+    one count per partition.
     """
     order = [F.col(source).asc_nulls_last()]
     parts = sources.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
     local = staged(
         parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order))), "mix-ranks"
     )
-    counts = local.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("a.__part") >= F.col("b.__part"), "left").groupBy(
-        F.col("a.__part").alias("__part")
-    ).agg(F.sum(F.when(F.col("a.__part") > F.col("b.__part"), F.col("b.__n")).otherwise(0)).alias("__before"))
+    # one row per range partition
+    counts = sorted((r["__part"], r["n"]) for r in local.groupBy("__part").agg(F.count("*").alias("n")).collect())
+    before = [(part, sum(n for _, n in counts[:i])) for i, (part, _) in enumerate(counts)]
+    before = local.sparkSession.createDataFrame(before, "__part int, __before bigint")
     return (
         local.join(before, "__part")
         .withColumn("rank", F.col("__before") + F.col("__row") - 1)

@@ -19,7 +19,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: White space as Java's and DuckDB's regular expressions spell it.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
