@@ -240,8 +240,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
     )
     full = sketches.where("n_shingles > 0")
     banded = full.select("cls", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
-    near = banded.join(buckets.select("band", "least"), "band").where("cls <> least").select("cls", "least").distinct()
+    ends = banded.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
+    # written out, so that the join has a plain exchange on both sides and Spark can split a frequent band
+    buckets = staged(ends.select("band", "least"), "buckets")
+    near = banded.join(buckets, "band").where("cls <> least").select("cls", "least").distinct()
     blocks = components(near, "cls", "least").withColumnsRenamed({"node": "cls", "label": "block"})
 
     first = full.groupBy("cls").agg(F.min("row").alias("row"), F.min("key").alias("first_key"))

@@ -276,9 +276,11 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
     anchors = staged(
         rows.mapInArrow(_anchors("text", p), "row bigint, anchor bigint, at int, windows int"), "anchors"
     )
-    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    counts = anchors.groupBy("anchor").agg(F.count("*").alias("n"))
+    # written out, so that the join has a plain exchange on both sides and Spark can split a frequent anchor
+    shared = staged(counts.where("n > 1").select("anchor"), "anchor-counts")
     hits = staged(anchors.join(shared, "anchor"), "shared-anchors")
-    discard(anchors)
+    discard(anchors, shared)
     spans = hits.groupBy("row").agg(F.collect_set(F.struct("at", "windows")).alias("spans"))
     passages = staged(
         rows.join(spans.withColumnRenamed("row", "__row"), F.col("row") == F.col("__row"))
