@@ -47,27 +47,36 @@ class Trie:
     scores the one with fewer tokens counts.
     """
 
-    def __init__(self, pieces: dict[str, float], most_nodes: int = 300_000) -> None:
-        self.pieces, self.most_nodes = pieces, most_nodes
-        self.longest = max(map(len, pieces), default=1)
+    def __init__(self, pieces: dict[str, float], most_nodes: int = 600_000) -> None:
+        self.most_nodes = most_nodes
+        # every ending of a piece, with the score of those that are pieces: where an ending is missing, no longer
+        # piece can end
+        self.endings: dict[str, float | None] = {piece[k:]: None for piece in pieces for k in range(1, len(piece))}
+        self.endings.update(pieces)
         self.unknown = min(pieces.values(), default=0.0) - 10.0
         self.clear()
 
     def clear(self) -> None:
+        """Forget all words; a node holds a prefix's best score and its token count, negative."""
         self.child: dict[tuple[int, str], int] = {}
         self.forward: list[tuple[float, int]] = [(0.0, 0)]
         self.terminal: dict[bytes, int] = {}
 
     def _step(self, word: str, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
-        """Best score and token count of the first ``end`` characters, from those of all shorter prefixes."""
+        """Best score and token count (negative) of the first ``end`` characters, from those of shorter prefixes."""
         score, tokens = path[end - 1]
-        best = (score + self.unknown, -tokens - len(word[end - 1].encode()))
-        for begin in range(max(0, end - self.longest), end):
-            value = self.pieces.get(word[begin:end])
+        best = (score + self.unknown, tokens - len(word[end - 1].encode()))
+        endings = self.endings
+        for begin in range(end - 1, -1, -1):
+            value = endings.get(word[begin:end], False)
+            if value is False:
+                break
             if value is not None:
                 score, tokens = path[begin]
-                best = max(best, (score + value, -tokens - 1))
-        return best[0], -best[1]
+                score += value
+                if score > best[0] or (score == best[0] and tokens - 1 > best[1]):
+                    best = (score, tokens - 1)
+        return best
 
     def count(self, raw: bytes) -> int:
         """Tokens of a word given as UTF-8."""
@@ -77,18 +86,18 @@ class Trie:
         if len(self.forward) >= self.most_nodes:
             self.clear()
         word = WORD_MARK + raw.decode("utf-8", "replace")
-        path, node, shared = [self.forward[0]], 0, len(word) <= LONGEST_SHARED
-        for end in range(1, len(word) + 1):
-            if shared:
-                known = self.child.get((node, word[end - 1]))
-                if known is None:
-                    known = self.child[node, word[end - 1]] = len(self.forward)
-                    self.forward.append(self._step(word, end, path))
-                node = known
-                path.append(self.forward[node])
-            else:
-                path.append(self._step(word, end, path))
-        tokens = path[-1][1]
+        forward, child, node, end = self.forward, self.child, 0, 0
+        path, shared = [forward[0]], len(word) <= LONGEST_SHARED
+        for end, letter in enumerate(word if shared else "", 1):
+            known = child.get((node, letter))
+            if known is None:
+                known = child[node, letter] = len(forward)
+                forward.append(self._step(word, end, path))
+            node = known
+            path.append(forward[node])
+        for end in range(len(path), len(word) + 1):
+            path.append(self._step(word, end, path))
+        tokens = -path[-1][1]
         if shared:
             self.terminal[raw] = tokens
         return tokens
@@ -101,10 +110,9 @@ def _counter(pieces, text: str, most_nodes: int):
             for part in slices(batch, text):
                 words = split_words(part.column(text))
                 _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
-                raw = words.data.tobytes()
-                each = np.array(
-                    [trie.count(raw[words.start[i] : words.end[i]]) for i in at.tolist()], np.int64
-                )[which] if len(at) else np.zeros(0, np.int64)
+                raw, count = words.data.tobytes(), trie.count
+                ranges = zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)
+                each = np.fromiter((count(raw[a:b]) for a, b in ranges), np.int64, len(at))[which]
                 total = np.concatenate([[0], np.cumsum(each)])
                 tokens = total[words.first[1:]] - total[words.first[:-1]]
                 keep = [c for c in part.schema.names if c != text]
@@ -117,7 +125,7 @@ def _counter(pieces, text: str, most_nodes: int):
 
 
 def count_tokens(
-    docs: DataFrame, pieces: dict[str, float], text: str = "text", most_nodes: int = 300_000
+    docs: DataFrame, pieces: dict[str, float], text: str = "text", most_nodes: int = 600_000
 ) -> DataFrame:
     """``docs`` without ``text``, with ``n_words`` and ``n_tokens`` of the whole text.
 
