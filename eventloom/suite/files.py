@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventloom import schemas
 from eventloom.fixtures import Tables
-from eventloom.plans import checkouts, pages, quality, sales
+from eventloom.operators.sessions import user_day_sessions
+from eventloom.plans import checkouts, pages, quality, sales, traffic
 from eventloom.sources import (
     day_plan,
     convert,
@@ -26,7 +27,8 @@ from eventloom.sources import (
 )
 from eventloom.sources.days import calendar_of
 from eventloom.streaming import DailyIngest
-from eventloom.suite.registry import file_copy, query, rounded
+from eventloom.suite import analyses  # noqa: F401 - its SQL is used here too
+from eventloom.suite.registry import ORACLE, file_copy, query, rounded
 from eventloom.workspace import new_folder
 
 CHECKOUT_COLUMNS = ("MaterialType", "CheckoutYear", "CheckoutMonth", "Checkouts", "Title", "ISBN", "Creator")
@@ -280,6 +282,15 @@ def page_category_counts(t: Tables) -> DataFrame:
     return pages.page_category_counts(t.params(), t.page_categories())
 
 
+def _ingested(t: Tables) -> DailyIngest:
+    """The raw events written by day and ingested once."""
+    raw, target = new_folder(t.spark, "raw"), new_folder(t.spark, "ingested")
+    write_partitioned(t.events_raw().withColumn("day", F.col("event_date")), raw, ["day"])
+    ingest = DailyIngest(t.spark, raw, target, prefix="day=")
+    ingest.run()
+    return ingest
+
+
 @query(
     "streaming_ingest",
     "ga_events",
@@ -293,10 +304,7 @@ FROM ga_events JOIN (SELECT event_id, event_type FROM events) k USING (event_id)
 )
 def streaming_ingest(t: Tables) -> DataFrame:
     """Nested day files through the incremental ingest; a second run must not add anything."""
-    raw, target = new_folder(t.spark, "raw"), new_folder(t.spark, "ingested")
-    write_partitioned(t.events_raw().withColumn("day", F.col("event_date")), raw, ["day"])
-    ingest = DailyIngest(t.spark, raw, target, prefix="day=")
-    ingest.run()
+    ingest = _ingested(t)
     ingest.run()
     events = ingest.table("events").groupBy("event_date").agg(
         F.count(F.lit(1)).alias("events"), F.sum("ecommerce_purchase_revenue_in_usd").alias("revenue")
@@ -309,3 +317,10 @@ def streaming_ingest(t: Tables) -> DataFrame:
     )
     both = events.join(params, "event_date", "left").join(items, "event_date", "left")
     return rounded(both, 2, "revenue", "item_revenue")
+
+
+@query("ingested_channels", "", ORACLE["traffic_channels"])
+def ingested_channels(t: Tables) -> DataFrame:
+    """Raw days, ingest, sessions from the ingested events, channels: the whole way, against the SQL on the base tables."""
+    events = _ingested(t).table("events")
+    return traffic.traffic_channels(user_day_sessions(events), events)
