@@ -31,12 +31,14 @@ def file_counts(
         [(folder, text, path_exists(spark, folder)) for folder, text in folders.items()],
         "folder string, description string, present boolean",
     )
+    rows = wanted.withColumn("n", F.lit(0).cast("long"))
     files = _files_of(spark, list(folders), glob)
-    if files is None:
-        counted = wanted.withColumn("n_files", F.lit(0).cast("long"))
-    else:
-        per_folder = files.groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"))
-        counted = wanted.join(per_folder, "folder", "left").fillna({"n_files": 0})
+    if files is not None:
+        rows = rows.unionByName(files.select("folder", F.lit(1).cast("long").alias("n")), allowMissingColumns=True)
+    # one group per folder, with the file rows next to the wanted one: a join on so few constants would be nested loops
+    counted = rows.groupBy("folder").agg(
+        F.max("description").alias("description"), F.max("present").alias("present"), F.sum("n").alias("n_files")
+    )
     status = (
         F.when(~F.col("present"), F.lit("folder missing"))
         .when(F.col("n_files") == 0, F.lit("empty"))
