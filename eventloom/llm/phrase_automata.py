@@ -209,11 +209,21 @@ def _locate(p: Params):
         shift = here - at
         if a[low:high] == b[low + shift : high + shift]:
             return low, high
-        left = right = at
-        while left > low and a[left - 1] == b[left - 1 + shift]:
-            left -= 1
-        while right < high and a[right] == b[right + shift]:
-            right += 1
+        left, right = low, at  # the first place that may be in the range, the last that is known to be
+        while left < right:
+            middle = (left + right) // 2
+            if a[middle:right] == b[middle + shift : right + shift]:
+                right = middle
+            else:
+                left = middle + 1
+        start, left, right = left, at, high
+        while left < right:
+            middle = (left + right + 1) // 2
+            if a[left:middle] == b[left + shift : middle + shift]:
+                left = middle
+            else:
+                right = middle - 1
+        left, right = start, left
         return left, right
 
     def run(passages: pa.Table, phrases: pa.Table) -> pa.Table:
