@@ -52,14 +52,18 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a step that is done, whatever executor is lost later."""
+def staged(df: DataFrame, label: str, small: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a step that is done, whatever executor is lost later.
+
+    ``small``: the step's shuffle files can wait until a larger step is done.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     out = spark.read.schema(df.schema).parquet(folder)
     out.staged_folder = folder
-    release(spark)
+    if not small:
+        release(spark)
     return out
 
 

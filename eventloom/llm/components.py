@@ -18,6 +18,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     labels = staged(
         both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")),
         "labels",
+        small=True,
     )
     while True:
         near = (
@@ -30,6 +31,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         moved = staged(
             better.join(jump, "next").select("node", F.col("label").alias("before"), F.least("next", "far").alias("label")),
             "labels",
+            small=True,
         )
         done = moved.where(F.col("before") != F.col("label")).isEmpty()
         labels = moved.select("node", "label")

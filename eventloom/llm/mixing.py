@@ -23,7 +23,7 @@ def ranked(sources: DataFrame, source: str) -> DataFrame:
     order = [F.col(source).asc_nulls_last()]
     parts = sources.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
     local = staged(
-        parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order))), "mix-ranks"
+        parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order))), "mix-ranks", small=True
     )
     # one row per range partition
     counts = sorted((r["__part"], r["n"]) for r in local.groupBy("__part").agg(F.count("*").alias("n")).collect())
@@ -121,7 +121,9 @@ def mix_sources(
     sized = docs.withColumn("size", word_count(F.col(text)))
     per_source = sized.groupBy(source).agg(F.sum("size").alias("size"))
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
-    weighed = staged(ranked(staged(per_source, "mix-sizes"), source).withColumn("weight", weight.cast("long")), "mix-weights")
+    weighed = staged(
+        ranked(staged(per_source, "mix-sizes", small=True), source).withColumn("weight", weight.cast("long")), "mix-weights", small=True
+    )
     targets = fill_to_targets(weighed, total[0], total[1], cap).select(
         source, F.col("size").alias("source_size"), "target"
     )

@@ -115,7 +115,7 @@ def judge_urls(
         "listed-urls",
     )
     blocks = filter_blocks(names.count())
-    bloom = staged(bloom_filter(names, blocks), "bloom-filter")
+    bloom = staged(bloom_filter(names, blocks), "bloom-filter", small=True)
     # two uses of the pages follow; names that the pages may have themselves are kept out of the joins
     host, path = host_of(F.col(url)), path_of(F.col(url))
     name, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
