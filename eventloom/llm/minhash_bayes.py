@@ -243,8 +243,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
     ends = banded.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
     # written out, so that the join has a plain exchange on both sides and Spark can split a frequent band
     buckets = staged(ends.select("band", "least"), "buckets")
-    near = banded.join(buckets, "band").where("cls <> least").select("cls", "least").distinct()
-    blocks = components(near, "cls", "least").withColumnsRenamed({"node": "cls", "label": "block"})
+    # A class meets the smallest class of each of its bands. It is linked with the smallest of these, and they are linked
+    # with that one too: the same components as by a link per band, with about as many links as classes.
+    meets = banded.join(buckets, "band").groupBy("cls").agg(F.collect_set("least").alias("leasts"))
+    meets = staged(meets.withColumn("hub", F.array_min("leasts")), "hubs")
+    hubs = meets.select(F.explode("leasts").alias("cls"), "hub").distinct()
+    near = meets.select("cls", "hub").unionByName(hubs).where("cls <> hub")
+    blocks = components(near, "cls", "hub").withColumnsRenamed({"node": "cls", "label": "block"})
 
     first = full.groupBy("cls").agg(F.min("row").alias("row"), F.min("key").alias("first_key"))
     first = staged(first.join(full.groupBy("cls").agg(F.max("n_shingles").alias("n")), "cls"), "classes")
