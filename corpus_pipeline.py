@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.llm.columns import read_table, staged
 from eventloom.llm.line_frequency import drop_boilerplate
-from eventloom.llm.minhash_bayes import one_of_each
+from eventloom.llm.minhash_bayes import Params, one_of_each
 from eventloom.llm.mixing import emit, mix_sources
 from eventloom.llm.quality_ledger import STRICT, failed, ledger
 from eventloom.llm.string_tiling import decontaminated
@@ -20,6 +20,9 @@ from eventloom.llm.string_tiling import decontaminated
 #: A line on more than this share of a source's documents is boilerplate.
 LINE_RATIO, LINE_DOCUMENTS = 0.05, 3
 
+#: Documents at a similarity of 0.8 are near duplicates; such a pair shares no band with probability 1e-7.
+NEAR = Params(percent=80, bands=40, rows=5, batch=40)
+
 
 def _wrapped(docs: DataFrame, *needed: str) -> DataFrame:
     """The whole row as one column next to the columns an operator reads, out of reach of the names it adds."""
@@ -44,7 +47,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id."""
-    return one_of_each(docs)
+    return one_of_each(docs, p=NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
