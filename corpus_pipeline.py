@@ -17,7 +17,7 @@ from eventloom.llm.mixing import emit, mix_sources
 from eventloom.llm.quality_ledger import STRICT, failed, ledger
 from eventloom.llm.string_tiling import decontaminated
 
-#: A line on more than this share of a source's documents is boilerplate.
+#: A line on more than this share of a source's distinct documents is boilerplate.
 LINE_RATIO, LINE_DOCUMENTS = 0.05, 3
 
 #: Documents at a similarity of 0.8 are near duplicates; such a pair shares no band with probability 1e-7.
@@ -35,10 +35,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; ``n_chars`` follows the text. No document goes."""
+    """Documents without their source's boilerplate lines, whatever their share of the document; copies of a text count
+    once, so that they are left for the near-dedup. ``n_chars`` follows the text. No document goes."""
     rest = [c for c in docs.columns if c != "text"]
     narrow = docs.select(F.struct(*rest).alias("__doc"), "source", "text")
-    out = drop_boilerplate(narrow, "source", ratio=LINE_RATIO, min_pages=LINE_DOCUMENTS).select("__doc.*", "text")
+    found = drop_boilerplate(narrow, "source", ratio=LINE_RATIO, min_pages=LINE_DOCUMENTS, most_lost=1, copies=False)
+    out = found.select("__doc.*", "text")
     if "n_chars" in rest:
         chars = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.coalesce(chars, F.col("n_chars")))

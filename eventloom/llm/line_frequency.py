@@ -21,19 +21,26 @@ def _bare(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, site: str, lines: Column, ratio: float, min_pages: int
+    docs: DataFrame, site: str, lines: Column, ratio: float, min_pages: int, page: Column | None = None
 ) -> DataFrame:
     """Per site the keys of its boilerplate lines, as ``__site`` and ``__keys``.
 
-    A page counts a line once. A site has at most (mean distinct lines of a page) / ratio such lines, so the array is
-    bounded whatever the number of pages.
+    A page counts a line once; rows of a site that agree in ``page`` are one page. A site has at most (mean distinct
+    lines of a page) / ratio such lines, so the array is bounded whatever the number of pages.
     """
-    pages = docs.select(F.col(site).alias("__site"), F.array_distinct(F.transform(lines, _bare)).alias("__lines"))
-    totals = pages.groupBy("__site").agg(F.count("*").alias("__pages"))
-    counts = (
-        pages.select("__site", F.explode("__lines").alias("__line"))
+    of = [F.col(site).alias("__site")] + ([] if page is None else [page.alias("__page")])
+    pages = docs.select(*of, F.array_distinct(F.transform(lines, _bare)).alias("__lines"))
+    each = pages.drop("__lines")
+    on = (
+        pages.select(*each.columns, F.explode("__lines").alias("__line"))
         .where(F.col("__line") != "")
-        .groupBy("__site", _key(F.col("__line")).alias("__key"))
+        .select(*each.columns, _key(F.col("__line")).alias("__key"))
+    )
+    if page is not None:
+        each, on = each.distinct(), on.distinct()
+    totals = each.groupBy("__site").agg(F.count("*").alias("__pages"))
+    counts = (
+        on.groupBy("__site", "__key")
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") >= min_pages)
     )
@@ -54,6 +61,7 @@ def drop_boilerplate(
     ratio: float = 0.05,
     min_pages: int = 3,
     most_lost: float = 0.5,
+    copies: bool = True,
 ) -> DataFrame:
     """``docs`` with ``text`` free of boilerplate lines, ``n_lines``, ``n_boilerplate`` and ``n_dropped``.
 
@@ -61,13 +69,16 @@ def drop_boilerplate(
     compared without white space at their ends; empty ones never count. A line must be on ``min_pages`` pages and on
     more than ``ratio`` of the site's pages. Where boilerplate makes up more than ``most_lost`` of a page's characters
     it is the content, not its frame: such a page (a copy among many) stays as it is, for the deduplication of whole
-    documents to judge. NULL text stays NULL with 0 lines; rows without a site form a site; repeated rows are pages of
-    their own; an empty table stays empty. Columns of the same names are replaced.
+    documents to judge; 1 drops every such line. Without ``copies`` rows of a site with equal text count as one page, so
+    that copies of a text do not make its lines boilerplate; with them repeated rows are pages of their own. NULL text
+    stays NULL with 0 lines; rows without a site form a site; an empty table stays empty. Columns of the same names are
+    replaced.
     """
     if lines is None:
         lines = F.split(F.col(text), "\n")
     lines = F.coalesce(lines, F.array().cast("array<string>"))
-    found = staged(boilerplate(docs, site, lines, ratio, min_pages), "boilerplate")
+    page = None if copies else _key(F.col(text))
+    found = staged(boilerplate(docs, site, lines, ratio, min_pages, page), "boilerplate")
     listed = F.coalesce(F.col("__keys"), F.array().cast("array<struct<a:bigint,b:int>>"))
     joined = docs.join(found, F.col(site).eqNullSafe(F.col("__site")), "left").withColumns(
         {"__all": lines, "__keys": listed}

@@ -124,3 +124,14 @@ def test_run_equals_the_plain_version_with_links_at_four_fifths(spark, folder):
     for r in rows:
         assert copies[r["doc_id"]] in (int(rate[r["source"]]), int(rate[r["source"]]) + 1)
     assert abs(sum(copies.values()) - sum(rate[r["source"]] for r in rows)) < 40
+
+
+def test_line_dedup_spares_no_page_and_no_copy_is_emptied(spark, folder):
+    menu = [f"a long menu entry with number {i}" for i in range(6)]
+    rows = [(k, "\n".join([*menu, f"own {k}"])) for k in range(5)] + [(10 + k, f"some text {k}\nmore text {k}") for k in range(20)]
+    copied = "one text that stands here\nnine times"
+    rows += [(50 + k, copied) for k in range(9)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.line_dedup(spark, docs, folder).collect()}
+    want = {d: f"own {d}" if d < 5 else t for d, t in rows}
+    assert got == {d: (t, len(t)) for d, t in want.items()}
