@@ -268,7 +268,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
     work = staged(
         placed.join(sketch, (F.col("row") == F.col("__r")) & (F.col("cls") == F.col("__c"))).drop("__r", "__c"), "blocks"
     )
-    texts = rows.select("__row", "text").join(work, F.col("__row") == F.col("row")).drop("__row", "row")
+    # rows that agree in id and text are one text here; merged map by map, before any of them meet
+    once = rows.select("__row", "text").dropDuplicates(["__row"])
+    texts = once.join(work, F.col("__row") == F.col("row")).drop("__row", "row")
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
     pairs = texts.select("*", other).select(
         "block", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "piece", "cls", "sketch", "text"

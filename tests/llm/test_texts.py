@@ -120,6 +120,25 @@ def test_near_duplicates_equal_brute_force(spark, p):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_rows_that_agree_in_id_and_text_are_compared_once(spark, monkeypatch):
+    verifier = minhash_bayes._verifier
+
+    def strict(p):
+        run = verifier(p)
+
+        def once(table):
+            assert len(set(table.column("cls").to_pylist())) == table.num_rows, "a class came more than once"
+            return run(table)
+
+        return once
+
+    monkeypatch.setattr(minhash_bayes, "_verifier", strict)
+    text = prose(60, 41)
+    df = spark.createDataFrame([(None, text)] * 9 + [(1, text + " tail")], "doc_id bigint, text string").repartition(3)
+    got = minhash_bayes.near_duplicates(df, p=minhash_bayes.Params(piece_docs=1)).collect()
+    assert len(got) == 10 and {r["component_id"] for r in got} == {1}
+
+
 def test_near_duplicates_of_test_documents_and_of_none(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in df.collect()]
