@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventloom.llm.chat_format import CONTROL, format_turns, read_back
 from eventloom.llm.columns import read_table
+from eventloom.llm.filter_audit import audit
 from eventloom.llm.interpolation import scored
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
@@ -221,3 +222,36 @@ def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a bigram model of those that are not held out."""
     return scored(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(
+    r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+b AS (SELECT doc_id, part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+  coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM w),
+cell AS (SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+  FROM b LEFT JOIN labels USING (doc_id) GROUP BY ALL),
+f AS (SELECT *, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS fails FROM cell),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+st AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+  FROM o, (VALUES (1), (2), (3), (4), (5)) AS v(step)),
+j AS (SELECT part, filter_order, step, x, n, good, toxic, fails,
+  CASE x WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS hit,
+  (a AND contains(before, 'A')) OR (b AND contains(before, 'B')) OR (c AND contains(before, 'C'))
+    OR (d AND contains(before, 'D')) OR (e AND contains(before, 'E')) AS gone FROM f, st),
+g AS (SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (NOT gone AND hit), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND hit), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (hit AND fails = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (NOT gone AND hit), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (NOT gone AND hit), 0)::BIGINT AS toxic_lost FROM j GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM g"""
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in every order, per source."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return audit(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
