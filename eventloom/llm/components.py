@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventloom.llm.columns import staged
+from eventloom.llm.columns import discard, staged
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """``node`` and ``label``, the smallest node it is connected with, for every node of a link.
+    """``node`` and ``label``, the smallest node it is connected with, for every node of a link; a staged table.
 
     Each round takes the smallest label among a node's neighbours and then that label's own label, so the distance
-    that is left halves and long chains take few rounds. Rounds are written out, which keeps their plans short.
+    that is left halves and long chains take few rounds. Rounds are written out, which keeps their plans short; a
+    round's table goes when the next one is written.
     """
     both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node <> other")
     both = staged(both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
@@ -34,6 +35,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             small=True,
         )
         done = moved.where(F.col("before") != F.col("label")).isEmpty()
+        discard(labels)
         labels = moved.select("node", "label")
+        labels.staged_folder = moved.staged_folder
         if done:
+            discard(both)
             return labels

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventloom.llm.chat_format import CONTROL, format_turns, read_back
 from eventloom.llm.columns import read_table
 from eventloom.llm.filter_audit import audit
+from eventloom.llm.hyperplanes import near_vectors
 from eventloom.llm.interpolation import scored
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
@@ -255,3 +256,21 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters over all documents in every order, per source."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return audit(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+@query(
+    """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fit AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND list_dot_product(e, e) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95),
+r(node, seen) AS (SELECT a, b FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+c AS (SELECT node, least(node, min(seen)) AS component_id FROM r GROUP BY node)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  vec_id = coalesce(component_id, vec_id) AS kept FROM v LEFT JOIN n ON vec_id = a LEFT JOIN c ON vec_id = node"""
+)
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate vectors over all embeddings."""
+    return near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
