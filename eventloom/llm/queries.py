@@ -11,6 +11,7 @@ from eventloom.llm.columns import read_table
 from eventloom.llm.filter_audit import audit
 from eventloom.llm.hyperplanes import near_vectors
 from eventloom.llm.interpolation import scored
+from eventloom.llm.k2_treap import ranked
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.minhash_bayes import near_duplicates
 from eventloom.llm.mixing import mix_sources
@@ -274,3 +275,26 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate vectors over all embeddings."""
     return near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    rf"""
+WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL), len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+s AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM len),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, s GROUP BY term, big_n),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+sc AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l))))
+    AS BIGINT) AS score FROM q JOIN w USING (term) JOIN tf USING (term) JOIN len USING (doc_id), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= 20"""
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for each benchmark item."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
