@@ -191,7 +191,8 @@ def channel_group(t: Tables) -> DataFrame:
   count(DISTINCT user_pseudo_id) AS users FROM numbered GROUP BY 1""",
 )
 def user_type(t: Tables) -> DataFrame:
-    typed = t.session_numbers().withColumn("user_type", X.user_type(F.col("param_value")))
+    numbers = t.session_numbers().where(F.col("key") == "ga_session_number")
+    typed = numbers.withColumn("user_type", X.user_type(F.col("param_value")))
     return typed.groupBy("user_type").agg(
         F.count(F.lit(1)).alias("events"), F.countDistinct("user_pseudo_id").alias("users")
     )
@@ -209,7 +210,8 @@ def session_number(t: Tables) -> DataFrame:
   CAST(session_number AS varchar) AS as_text FROM numbered""",
 )
 def number_text_casts(t: Tables) -> DataFrame:
-    text = t.session_numbers().select("event_id", F.col("param_value").alias("as_text"))
+    numbers = t.session_numbers().where(F.col("key") == "ga_session_number")
+    text = numbers.select("event_id", F.col("param_value").alias("as_text"))
     return text.select(
         "event_id",
         X.to_integer(F.col("as_text")).alias("as_integer"),
