@@ -35,6 +35,24 @@ def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def boxed(docs: DataFrame, *without: str, **needed: Column) -> DataFrame:
+    """The caller's row (but for the columns in ``without``) as one column ``row``, out of reach of any name that an
+    operator gives, next to the columns that it reads."""
+    rest = [column(c).alias(c) for c in docs.columns if c not in without]
+    return docs.select(F.struct(*rest, F.lit(None).cast("boolean").alias("")).alias("row"), *(c.alias(n) for n, c in needed.items()))
+
+
+def unboxed(docs: DataFrame, *others: str | Column, but: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``row`` again, except those named in ``but``, and others behind them."""
+    names = [f.name for f in docs.schema["row"].dataType.fields if f.name and f.name not in but]
+    return docs.select(*(F.col("row").getField(c).alias(c) for c in names), *others)
+
+
 def row_key(text: str = "text", key: str = "doc_id") -> Column:
     """A 64-bit key of a row by its id and text: rows that agree in both get one key, whatever the order of the input."""
     return F.xxhash64(F.col(key), F.col(text))

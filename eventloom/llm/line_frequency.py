@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.llm.columns import SPACES, staged
+from eventloom.llm.columns import SPACES, boxed, column, staged, unboxed
 
 
 def _key(line: Column) -> Column:
@@ -60,46 +60,34 @@ def drop_boilerplate(
     lines: Column | None = None,
     ratio: float = 0.05,
     min_pages: int = 3,
-    most_lost: float = 0.5,
     copies: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``text`` free of boilerplate lines, ``n_lines``, ``n_boilerplate`` and ``n_dropped``.
+    """``docs`` with ``text`` free of boilerplate lines, ``n_lines`` and ``n_boilerplate``, the number of lines dropped.
 
     ``lines`` is an array column (default: the text split at line ends); what remains is joined by line ends. Lines are
     compared without white space at their ends; empty ones never count. A line must be on ``min_pages`` pages and on
-    more than ``ratio`` of the site's pages. Where boilerplate makes up more than ``most_lost`` of a page's characters
-    it is the content, not its frame: such a page (a copy among many) stays as it is, for the deduplication of whole
-    documents to judge; 1 drops every such line. Without ``copies`` rows of a site with equal text count as one page, so
-    that copies of a text do not make its lines boilerplate; with them repeated rows are pages of their own. NULL text
-    stays NULL with 0 lines; rows without a site form a site; an empty table stays empty. Columns of the same names are
-    replaced.
+    more than ``ratio`` of the site's pages; then it goes from all of them, whatever its share of a page. Without
+    ``copies`` rows of a site with equal text count as one page, so that copies of a text do not make its lines
+    boilerplate; with them repeated rows are pages of their own. NULL text stays NULL with 0 lines; rows without a site
+    form a site; an empty table stays empty. ``text`` keeps its place; columns named like the counts are replaced.
     """
     if lines is None:
         lines = F.split(F.col(text), "\n")
     lines = F.coalesce(lines, F.array().cast("array<string>"))
     page = None if copies else _key(F.col(text))
     found = staged(boilerplate(docs, site, lines, ratio, min_pages, page), "boilerplate")
+    added = ("n_lines", "n_boilerplate")
+    # the site may be a column that a caller replaces, so what is read is taken before the row is boxed
+    rows = boxed(docs, text, *added, site=F.col(site), blank=F.col(text).isNull(), lines=lines)
     listed = F.coalesce(F.col("__keys"), F.array().cast("array<struct<a:bigint,b:int>>"))
-    joined = docs.join(found, F.col(site).eqNullSafe(F.col("__site")), "left").withColumns(
-        {"__all": lines, "__keys": listed}
-    )
-    chars = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
+    joined = rows.join(found, F.col("site").eqNullSafe(F.col("__site")), "left").withColumn("keys", listed)
     kept = F.when(
-        F.size("__keys") > 0,
-        F.filter("__all", lambda x: ~F.array_contains(F.col("__keys"), _key(_bare(x)))),
-    ).otherwise(F.col("__all"))
-    judged = joined.withColumn("__kept", kept).withColumn(
-        "__drop",
-        (F.size("__kept") < F.size("__all"))
-        & (chars(F.col("__kept")) >= F.lit(1 - most_lost) * chars(F.col("__all"))),
+        F.size("keys") > 0, F.filter("lines", lambda x: ~F.array_contains(F.col("keys"), _key(_bare(x))))
+    ).otherwise(F.col("lines"))
+    out = unboxed(
+        joined.withColumn("left", kept),
+        F.when(~F.col("blank"), F.array_join("left", "\n")).alias(text),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("left")).cast("long").alias("n_boilerplate"),
     )
-    return judged.withColumns(
-        {
-            text: F.when(F.col("__drop"), F.array_join("__kept", "\n")).otherwise(
-                F.when(F.col(text).isNotNull(), F.array_join("__all", "\n"))
-            ),
-            "n_lines": F.size("__all").cast("long"),
-            "n_boilerplate": (F.size("__all") - F.size("__kept")).cast("long"),
-            "n_dropped": F.when(F.col("__drop"), F.size("__all") - F.size("__kept")).otherwise(0).cast("long"),
-        }
-    ).drop("__all", "__kept", "__keys", "__site", "__drop")
+    return out.select(*(column(c) for c in [*(c for c in docs.columns if c not in added), *added]))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventloom.llm.columns import row_key, staged, word_count
+from eventloom.llm.columns import boxed, row_key, staged, unboxed, word_count
 
 _STEPS = 1 << 52
 
@@ -86,12 +86,15 @@ def mixed(
     one = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text:"), row_key(text, key).cast("string")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
+    added = ("source_size", "target", "copies")
+    targets = sources.select(F.col(source).alias("of"), "source_size", "target")
     # one weight row per source: Spark broadcasts it only if its measured size is below the session's threshold
-    return (
-        docs.withColumn("__source", F.col(source))
-        .join(sources.withColumnRenamed(source, "__key"), F.col("__source").eqNullSafe(F.col("__key")))
-        .withColumn("copies", (whole + F.when(draw(seed, one) < rate - whole, 1).otherwise(0)).cast("long"))
-        .drop("__source", "__key")
+    return unboxed(
+        boxed(docs, one=one, source=F.col(source))
+        .join(targets, F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("copies", (whole + F.when(draw(seed, F.col("one")) < rate - whole, 1).otherwise(0)).cast("long")),
+        *added,
+        but=added,
     )
 
 
@@ -119,12 +122,12 @@ def mix_sources(
     added = ["size", "source_size", "target", "copies", "taken", "rank", "weight"]
     docs = docs.drop(*(c for c in added if c in docs.columns and c not in (source, text, key)))
     sized = docs.withColumn("size", word_count(F.col(text)))
-    per_source = sized.groupBy(source).agg(F.sum("size").alias("size"))
+    per_source = sized.select(F.col(source).alias("source"), "size").groupBy("source").agg(F.sum("size").alias("size"))
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     weighed = staged(
-        ranked(staged(per_source, "mix-sizes", small=True), source).withColumn("weight", weight.cast("long")), "mix-weights", small=True
+        ranked(staged(per_source, "mix-sizes", small=True), "source").withColumn("weight", weight.cast("long")), "mix-weights", small=True
     )
     targets = fill_to_targets(weighed, total[0], total[1], cap).select(
-        source, F.col("size").alias("source_size"), "target"
+        F.col("source").alias(source), F.col("size").alias("source_size"), "target"
     )
     return mixed(sized, targets, source, text, key, seed).withColumn("taken", F.col("size") * F.col("copies"))

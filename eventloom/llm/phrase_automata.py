@@ -24,9 +24,9 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from eventloom.llm.columns import discard, row_key, staged
+from eventloom.llm.columns import boxed, discard, row_key, staged, unboxed
 from eventloom.llm.words import (
     CHUNK_BYTES,
     Words,
@@ -330,13 +330,13 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
     return found.groupBy("row").agg(F.collect_set(F.struct("at", "to")).alias("spans"))
 
 
-def _remover(p: Params, others: list[str], whole: bool):
+def _remover(p: Params, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
-                words = split_words(part.column("__text"))
+            for part in slices(batch, "text"):
+                words = split_words(part.column("text"))
                 gone = np.zeros(len(words) + 1, np.int32)
-                spans = part.column("__spans")
+                spans = part.column("spans")
                 for i in range(part.num_rows):
                     flat = spans[i].values
                     if flat is not None:
@@ -349,14 +349,14 @@ def _remover(p: Params, others: list[str], whole: bool):
                 ]
                 total = np.concatenate([[0], np.cumsum(~keep)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in others]
-                    + [
-                        pa.array(words.counts), pa.array(total[words.first[1:]] - total[words.first[:-1]]),
+                    [
+                        part.column("row"), pa.array(words.counts),
+                        pa.array(total[words.first[1:]] - total[words.first[:-1]]),
                         pa.array([hashlib.sha256(t).hexdigest() for t in kept]),
                     ]
                     + ([pa.array(kept, pa.binary()).cast(pa.string())] if whole else []),
-                    [*others, "n_words", "n_removed", "kept_sha256", *(["kept_text"] if whole else [])],
-                )
+                    ["row", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if whole else [])],
+                )
 
     return run
 
@@ -369,16 +369,17 @@ def without_repeats(
     Removed is every word of a window that also starts anywhere else, in the same text or another. Kept words are
     joined by one space. NULL and blank texts have no words; texts shorter than a window lose nothing; rows that agree
     in id and text are repeats of each other and lose all their windows. An empty table stays empty. Columns of ``docs``
-    named like the result are replaced.
+    named like the result are replaced, all others pass through whatever their names.
     """
-    added = ["n_words", "n_removed", "kept_sha256", "kept_text"]
-    docs = docs.drop(*(c for c in added if c in docs.columns and c not in (text, key)))
+    added = ["n_words", "n_removed", "kept_sha256", *(["kept_text"] if whole else [])]
     spans = staged(
-        repeated_spans(docs, text, key, p).select(F.col("row").alias("__row"), F.col("spans").alias("__spans")), "spans"
+        repeated_spans(docs, text, key, p).select(F.col("row").alias("of"), "spans"), "spans"
+    )
+    others = boxed(docs, text, "n_words", "n_removed", "kept_sha256", "kept_text", place=row_key(text, key), text=F.col(text))
+    wide = others.join(spans, F.col("place") == F.col("of"), "left").select("row", "text", "spans")
+    schema = T.StructType(
+        [T.StructField("row", others.schema["row"].dataType), T.StructField("n_words", T.LongType())]
+        + [T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
+        + [T.StructField("kept_text", T.StringType())] * whole
     )
-    others = [c for c in docs.columns if c != text]
-    joined = docs.withColumn("__key", row_key(text, key)).join(spans, F.col("__key") == F.col("__row"), "left")
-    wide = joined.select(*(F.col(c) for c in others), F.col(text).alias("__text"), "__spans")
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
-    schema = f"{fields}n_words bigint, n_removed bigint, kept_sha256 string{', kept_text string' if whole else ''}"
-    return wide.mapInArrow(_remover(p, others, whole), schema)
+    return unboxed(wide.mapInArrow(_remover(p, whole), schema), *added)

@@ -5,7 +5,9 @@ marked as tiles, longest first, until no unmarked run of ``least`` tokens is sha
 most and tiles may come in any order, so a passage whose sentences were moved around is covered all the same. The
 share of the item's tokens under tiles decides.
 
-Tokens are lower-cased (A-Z) runs without white space and ASCII punctuation, compared by their 64-bit hashes.
+Tokens are lower-cased (A-Z) runs without white space and punctuation, compared by their 64-bit hashes. In scripts that
+are written without spaces every character is a token. An item with fewer tokens than a tile needs is found where all of
+it stands in one run.
 """
 
 from __future__ import annotations
@@ -30,6 +32,46 @@ from eventloom.llm.words import (
 )
 
 
+#: Code points that separate tokens, beyond ASCII (spaces, punctuation, full-width marks).
+_GAPS = (
+    (0xA0, 0xA9), (0xAB, 0xB1), (0xB6, 0xB8), (0xBB, 0xBB), (0xBF, 0xBF), (0x2000, 0x206F), (0x3000, 0x3004), (0x3008, 0x3020),
+    (0x3030, 0x3030), (0xFE10, 0xFE1F), (0xFE30, 0xFE6F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+)
+#: Blocks of scripts that are written without spaces between words.
+_UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1980, 0x19DF), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+
+
+def _among(points: np.ndarray, blocks: tuple[tuple[int, int], ...]) -> np.ndarray:
+    low, high = np.array(blocks).T
+    at = np.searchsorted(low, points, "right") - 1
+    return (at >= 0) & (points <= high[at])
+
+
+def _apart(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of UTF-8 that separate tokens, and where tokens begin and end within runs of letters."""
+    at = np.flatnonzero(data >= 0xC2)
+    if not len(at):
+        return at, at
+    lead = data[at].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & np.where(size == 2, 0x1F, np.where(size == 3, 0x0F, 0x07))
+    for k in range(1, 4):
+        more = size > k
+        point[more] = (point[more] << 6) | (data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F)
+    gap, alone = _among(point, _GAPS), _among(point, _UNSPACED)
+    length = size[gap]
+    gaps = np.repeat(at[gap], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return gaps, np.concatenate([at[alone], at[alone] + size[alone]])
+
+
+def tokens_of(column: pa.Array) -> Words:
+    return split_words(column, lower=True, between=IS_SPACE_OR_MARK, apart=_apart)
+
+
 @dataclass(frozen=True)
 class Params:
     """``least``: tokens of the shortest tile. ``coverage``: share of an item's tokens that makes a document
@@ -111,14 +153,38 @@ class _Items:
         # most grams of a document are no seed; a small table tells without a search
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.seeds >> np.uint64(44)] = True
+        # items too short for a seed, by their number of tokens: hash of all of it, and the item
+        counts = words.counts
+        self.short = {}
+        for size in np.unique(counts[(counts > 0) & (counts < p.least)]).tolist():
+            items = np.flatnonzero(counts == size)
+            whole = range_hashes(words.hash, words.first[items], words.first[items] + size)
+            order = np.argsort(whole, kind="stable")
+            self.short[size] = whole[order], items[order]
 
     def tokens(self, k: int) -> np.ndarray:
         return self.hash[self.first[k] : self.first[k + 1]]
 
 
+def _short_runs(words: Words, items: _Items) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """Text, item and the one tile of every short item that a text holds, at its first place."""
+    for size, (whole, owner) in items.short.items():
+        at = gram_starts(words, size)
+        grams = gram_hashes(words.hash, size)[at]
+        lo, hi = np.searchsorted(whole, grams, "left"), np.searchsorted(whole, grams, "right")
+        hit = hi > lo
+        text, run = words.text_of[at[hit]], lo[hit]
+        _, first = np.unique(np.stack([text, run]), axis=1, return_index=True)
+        for k in first.tolist():
+            place = int(at[hit][k] - words.first[text[k]])
+            for item in owner[run[k] : hi[hit][k]].tolist():
+                yield int(text[k]), item, [(0, place, size)]
+
+
 def _covered(words: Words, items: _Items, p: Params) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
     """Text, item and tiles of every pair that shares a seed. A tile lies where seeds of its item are, so only these
     places of a document are tiled."""
+    yield from _short_runs(words, items)
     at = gram_starts(words, p.least)
     grams = gram_hashes(words.hash, p.least)[at]
     likely = items.maybe[grams >> np.uint64(44)]
@@ -166,7 +232,7 @@ def _passes(benchmark: DataFrame, item: str, text: str, p: Params):
 def _load(raw: bytes, p: Params) -> tuple[_Items, pa.Array]:
     table = pa.ipc.open_stream(raw).read_all().combine_chunks()
     ids = table.column("item").combine_chunks() if table.num_rows else table.column("item")
-    words = split_words(table.column("text"), lower=True, between=IS_SPACE_OR_MARK)
+    words = tokens_of(table.column("text"))
     return _Items(ids.to_pylist(), words, p), ids.type
 
 
@@ -175,7 +241,7 @@ def _pairs(shared, key: str, text: str, p: Params):
         items, kind = _load(shared.value, p)
         for batch in batches:
             for part in slices(batch, text):
-                words = split_words(part.column(text), lower=True, between=IS_SPACE_OR_MARK)
+                words = tokens_of(part.column(text))
                 rows, out = [], []
                 for row, k, found in _covered(words, items, p):
                     covered, size = sum(t[2] for t in found), len(items.tokens(k))
@@ -204,8 +270,9 @@ def covered_items(
 ) -> DataFrame:
     """One row per document and test item that share a tile: tokens of the item, those covered, tiles, longest tile.
 
-    The whole documents are searched. NULL texts share nothing; an item with fewer than ``p.least`` tokens cannot be
-    told from chance and is never covered; repeated documents or items give repeated rows. Empty tables give no rows.
+    The whole documents are searched. NULL texts share nothing; an item with fewer than ``p.least`` tokens is covered by
+    a document that holds all of them in one run, which a very short one may owe to chance; an item without tokens is
+    never covered. Repeated documents or items give repeated rows. Empty tables give no rows.
     """
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kinds = benchmark.schema[item].dataType.simpleString()
@@ -226,7 +293,7 @@ def _clean(shared, text: str, p: Params):
         items, _ = _load(shared.value, p)
         for batch in batches:
             for part in slices(batch, text):
-                words = split_words(part.column(text), lower=True, between=IS_SPACE_OR_MARK)
+                words = tokens_of(part.column(text))
                 keep = np.ones(part.num_rows, bool)
                 for row, k, found in _covered(words, items, p):
                     if sum(t[2] for t in found) >= p.coverage * len(items.tokens(k)):

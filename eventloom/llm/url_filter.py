@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventloom.llm.columns import ascii_lower, staged
+from eventloom.llm.columns import ascii_lower, boxed, staged, unboxed
 
 LANES = 4
 BITS_PER_URL = 16
@@ -116,28 +116,24 @@ def judge_urls(
     )
     blocks = filter_blocks(names.count())
     bloom = staged(bloom_filter(names, blocks), "bloom-filter", small=True)
-    # two uses of the pages follow; names that the pages may have themselves are kept out of the joins
-    host, path = host_of(F.col(url)), path_of(F.col(url))
     name, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
+    added = ("host", "path", "rule", "listed", "verdict")
     parsed = (
-        pages.withColumns({"host": host, "path": path, "__url": canonical(F.col(url))})
-        .withColumns({"rule": name, "__verdict": verdict})
-        .withColumn("__slot", F.when(F.col("__url").isNotNull(), _slot(F.col("__url"), blocks)))
+        boxed(pages, host=host_of(F.col(url)), path=path_of(F.col(url)), url=canonical(F.col(url)))
+        .withColumns({"rule": name, "ruled": verdict})
+        .withColumn("slot", F.when(F.col("url").isNotNull(), _slot(F.col("url"), blocks)))
     )
-    mine = bloom.select(F.col("slot").alias("__at"), *(F.col(f"word{i}").alias(f"__word{i}") for i in range(LANES)))
+    mine = bloom.withColumnRenamed("slot", "at")
     hit = F.lit(True)
-    for lane, bit in enumerate(_bits(F.col("__url"))):
-        hit = hit & (F.col(f"__word{lane}").bitwiseAND(bit) != 0)
-    probed = parsed.join(mine, F.col("__slot") == F.col("__at"), "left").withColumn(
-        "__hit", F.coalesce(hit, F.lit(False))
-    )
-    probed = probed.drop("__slot", "__at", *(f"__word{i}" for i in range(LANES)))
-    exact = names.select(F.col("listed_url").alias("__listed_url"))
-    sure = probed.where("__hit").join(exact, F.col("__url") == F.col("__listed_url"), "left")
+    for lane, bit in enumerate(_bits(F.col("url"))):
+        hit = hit & (F.col(f"word{lane}").bitwiseAND(bit) != 0)
+    probed = parsed.join(mine, F.col("slot") == F.col("at"), "left").withColumn("hit", F.coalesce(hit, F.lit(False)))
+    probed = probed.select("row", "host", "path", "url", "rule", "ruled", "hit")
+    sure = probed.where("hit").join(names, F.col("url") == F.col("listed_url"), "left")
     both = (
-        sure.withColumn("listed", F.col("__listed_url").isNotNull())
-        .drop("__listed_url")
-        .unionByName(probed.where("NOT __hit").withColumn("listed", F.lit(False)))
+        sure.withColumn("listed", F.col("listed_url").isNotNull())
+        .drop("listed_url")
+        .unionByName(probed.where("NOT hit").withColumn("listed", F.lit(False)))
     )
-    decided = F.coalesce(F.col("__verdict"), F.when(F.col("listed"), "block").otherwise("allow"))
-    return both.withColumn("verdict", decided).drop("__url", "__verdict", "__hit")
+    decided = F.coalesce(F.col("ruled"), F.when(F.col("listed"), "block").otherwise("allow"))
+    return unboxed(both.withColumn("verdict", decided), *added, but=added)

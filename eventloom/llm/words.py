@@ -8,7 +8,7 @@ Hashes are 64 bits wide and depend on nothing but the bytes, so they agree betwe
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -120,10 +120,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
-def split_words(column: pa.Array, lower: bool = False, between: np.ndarray = IS_SPACE) -> Words:
+def split_words(
+    column: pa.Array,
+    lower: bool = False,
+    between: np.ndarray = IS_SPACE,
+    apart: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None,
+) -> Words:
     """The words of a text column (NULL: none); ``lower`` turns A-Z to a-z and nothing else.
 
-    ``between`` marks the bytes that separate words.
+    ``between`` marks the bytes that separate words. ``apart`` finds in the bytes the places of more of these, and
+    places at which a word begins even if the byte before belongs to one.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -136,10 +142,14 @@ def split_words(column: pa.Array, lower: bool = False, between: np.ndarray = IS_
     if lower:
         data = _LOWER[data]
     inside = ~between[data]
+    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    if apart is not None:
+        gaps, cuts = apart(data)
+        inside[gaps] = False
+        edges = np.concatenate([edges, cuts[(cuts > 0) & (cuts < len(data))]])
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
-    edges = bounds[(bounds > 0) & (bounds < len(data))]
     begins[edges] = inside[edges]
     ends[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1

@@ -39,7 +39,7 @@ def rejected(m):
     )
 
 
-def without_lines(docs, ratio, least, most_lost=0.5):
+def without_lines(docs, ratio, least):
     """docs: list of (site, text); the texts without boilerplate lines."""
     bare = [[x.strip(" \t\n\x0b\x0c\r") for x in (t or "").split("\n")] for _, t in docs]
     pages, seen = collections.Counter(s for s, _ in docs), collections.Counter()
@@ -48,8 +48,7 @@ def without_lines(docs, ratio, least, most_lost=0.5):
     out = []
     for (site, text), lines in zip(docs, bare):
         drop = [x and seen[site, x] >= least and seen[site, x] > ratio * pages[site] for x in lines]
-        kept = sum(len(x) for x, d in zip(lines, drop) if not d)
-        if text is not None and any(drop) and kept >= (1 - most_lost) * sum(map(len, lines)):
+        if text is not None:
             text = "\n".join(x for x, d in zip(text.split("\n"), drop) if not d)
         out.append(text)
     return out

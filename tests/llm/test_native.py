@@ -1,7 +1,7 @@
 """Quality ledger, line frequency, URL filter and mixing on small tables."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from eventloom.llm.line_frequency import drop_boilerplate
 from eventloom.llm.mixing import emit, fill_to_targets, mix_sources
@@ -81,6 +81,39 @@ def test_lines_equal_brute_force(spark, ratio):
     assert drop_boilerplate(df.limit(0), "source").count() == 0
 
 
+def test_all_boilerplate_goes_whatever_its_share(spark):
+    menu = [f"menu {i}" for i in range(10)]
+    rows = [(1, "s", "\n".join(menu[:5] + [f"own {i}" for i in range(4)] + menu[5:]))]
+    rows += [(k, "s", "\n".join(menu)) for k in (2, 3)] + [(k, "s", f"page {k}") for k in range(4, 20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    out = {r["doc_id"]: r for r in drop_boilerplate(df, "source").collect()}
+    assert (out[1]["text"], out[1]["n_lines"], out[1]["n_boilerplate"]) == ("own 0\nown 1\nown 2\nown 3", 14, 10)
+    assert out[2]["text"] == "" and out[7]["text"] == "page 7"
+
+
+def test_columns_with_the_names_operators_use(spark):
+    names = [
+        "__site", "__keys", "__key", "__n", "__all", "__kept", "__drop", "__source", "__url", "__at", "__slot", "__word0", "__hit",
+        "__verdict", "__listed_url", "__of", "__pages", "row", "site", "blank", "lines", "keys", "left", "url", "slot", "at", "word0", "hit",
+        "ruled", "listed_url", "one", "of", "target", "rank", "a.b",
+    ]
+    fields = [T.StructField(n, T.StringType()) for n in ["text", "source", *names]]
+    df = spark.createDataFrame(
+        [(1, "x\ny", "s", *(f"v{n}" for n in names))], T.StructType([T.StructField("doc_id", T.LongType()), *fields])
+    )
+    df = df.withColumn("url", F.lit("http://a.org/x"))
+    values = lambda row, but: [row[n] for n in names if n not in but]
+    (row,) = drop_boilerplate(df, "source", min_pages=1).collect()
+    assert row["text"] == "" and values(row, ["url"]) == [f"v{n}" for n in names if n != "url"]
+    (row,) = judge_urls(df, df.select("url")).collect()
+    assert row["listed"] and values(row, ["url"]) == [f"v{n}" for n in names if n != "url"]
+    (row,) = mix_sources(df).collect()
+    gone = ["url", "target", "rank"]
+    assert (row["size"], row["target"]) == (2, 3.0) and values(row, gone) == [f"v{n}" for n in names if n not in gone]
+    (row,) = ledger(df.drop(F.col("`a.b`"))).collect()
+    assert row["n_words"] == 2 and values(row, ["url", "a.b"]) == [f"v{n}" for n in names if n not in ("url", "a.b")]
+
+
 def test_canonical_urls(spark):
     cases = {
         "http://WWW.Example.com/a/": "example.com/a", "https://example.com/a#x?y": "example.com/a",

@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import types as T
 
 from eventloom.llm import minhash_bayes, phrase_automata, string_tiling
 from eventloom.llm.components import components
@@ -98,6 +100,56 @@ def test_reordered_passages_are_found(spark, p):
     assert string_tiling.contaminated(df.limit(0), bench, p=p).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [
+        (1, "alpha beta gamma delta"), (2, "水は百度で沸騰し、零度で凍る。"), (3, "seven words make an item long enough"), (4, "..."), (5, ""),
+        (6, "ประเทศไทยอยู่ในเอเชีย"), (7, "alpha beta gamma delta"),
+    ]
+    docs = [(d, f"x {t} y") for d, t in items[:3]] + [
+        (10, "Alpha, beta — gamma\u3000delta!"), (11, "alpha beta gamma no delta"), (12, "前置き水は百度で沸騰し零度で凍るので"), (13, "水は百度の日本"),
+        (14, "ก่อนประเทศไทยอยู่ในเอเชียหลัง"), (15, "零度で凍る。水は百度で沸騰し、"), (16, "betaalpha beta gamma deltas"), (17, None), (18, "…"),
+        (19, "水" * 60000),
+    ]
+    left = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in string_tiling.contaminated(left, bench).collect())
+    assert got == [(1, 1), (1, 7), (2, 2), (3, 3), (10, 1), (10, 7), (12, 2), (14, 6), (15, 2)]
+    clean = string_tiling.decontaminated(left, bench)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [11, 13, 16, 17, 18, 19]
+
+
+def test_tokens_beyond_ascii():
+    column = pa.array(["Aé b\u00a0c«d» e", "日本a語", None, "x。y", "é" * 3 + "–" + "ö", "𠀀𠀁z"])
+    words = string_tiling.tokens_of(column)
+    got = [[w.decode() for w in words.strings(a, b)] for a, b in zip(words.first, words.first[1:])]
+    assert got == [["aé", "b", "c", "d", "e"], ["日", "本", "a", "語"], [], ["x", "y"], ["ééé", "ö"], ["𠀀", "𠀁", "z"]]
+
+
+def test_columns_with_the_names_operators_use(spark):
+    text = prose(60, 51)
+    names = [
+        "__row", "__key", "__text", "__spans", "row", "of", "place", "spans", "at", "to", "key", "cls", "band", "group", "label",
+        "n_words", "kept_sha256", "__chosen", "a.b",
+    ]
+    df = spark.createDataFrame(
+        [(1, text, *[f"v{n}" for n in names]), (2, text + " x", *[f"u{n}" for n in names])],
+        T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(n, T.StringType()) for n in ["text", *names])]),
+    )
+    out = phrase_automata.without_repeats(df)
+    rows = sorted(out.collect())
+    replaced = ["n_words", "n_removed", "kept_sha256", "kept_text"]
+    assert out.columns == ["doc_id", *(n for n in names if n not in replaced), *replaced]
+    assert [(r["n_words"], r["n_removed"], r["kept_text"], r["__row"], r["a.b"]) for r in rows] == [
+        (60, 60, "", "v__row", "va.b"), (61, 60, "x", "u__row", "ua.b"),
+    ]
+    kept = minhash_bayes.one_of_each(df)
+    assert kept.columns == df.columns and [r["__row"] for r in kept.collect()] == ["v__row"]
+    assert {r["component_id"] for r in minhash_bayes.near_duplicates(df).collect()} == {1}
+    bench = spark.createDataFrame([(7, text, 0)], "item_id bigint, text string, __item int")
+    assert string_tiling.decontaminated(df, bench).columns == df.columns
+    assert string_tiling.contaminated(df, bench).count() == 2
+
+
 def near_rows():
     base = prose(150, 30).split()
     rows = [(50, " ".join(base)), (40, " ".join(base)), (41, " ".join(base).upper())]
