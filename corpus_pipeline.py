@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     once, so that they are left for the near-dedup. ``n_chars`` follows the text. No document goes."""
     rest = [c for c in docs.columns if c != "text"]
     narrow = docs.select(F.struct(*rest).alias("__doc"), "source", "text")
-    found = drop_boilerplate(narrow, "source", ratio=LINE_RATIO, min_pages=LINE_DOCUMENTS, most_lost=1, copies=False)
+    found = drop_boilerplate(narrow, "source", ratio=LINE_RATIO, min_pages=LINE_DOCUMENTS, copies=False)
     out = found.select("__doc.*", "text")
     if "n_chars" in rest:
         chars = F.length("text").cast(docs.schema["n_chars"].dataType)
