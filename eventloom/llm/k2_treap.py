@@ -44,7 +44,7 @@ class Params:
     ``width`` ranges are opened at once, fewer for items of very many terms. None of them changes the result."""
 
     top: int = 20
-    shard_tokens: int = 2_000_000
+    shard_tokens: int = 1_000_000
     width: int = 128
     pass_chars: int = 8_000_000
     held_nodes: int = 8_000_000
@@ -73,7 +73,7 @@ def _pack(values: np.ndarray) -> bytes:
 
 def _unpack(raw: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(pa.decompress(raw, 4 * n, "zstd", asbytes=True) if n else b"", np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).reshape(-1).view(np.uint32).astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, n).T).reshape(-1).view(np.int32)
 
 
 def impacts(tf: np.ndarray, terms: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -113,15 +113,15 @@ class Treap:
         inner = cells - sizes[-1]
         self.mask = np.zeros(cells + 1, np.uint8)
         self.mask[:inner] = np.frombuffer(pa.decompress(masks, inner, "zstd", asbytes=True), np.uint8)
-        count = _COUNT[self.mask]
-        self.child = np.cumsum(count) - count + 1
-        self.top = _unpack(falls, cells)
+        count = _COUNT.astype(np.int8)[self.mask]
+        self.child = np.cumsum(count, dtype=np.int32)
+        self.child -= count - np.int8(1)
+        self.top = np.append(_unpack(falls, cells), np.int32(0))
         low = 0
         for size, below in zip(sizes, sizes[1:], strict=False):
             at = slice(low + size, low + size + below)
             self.top[at] = np.repeat(self.top[low : low + size], count[low : low + size]) - self.top[at]
             low += size
-        self.top = np.append(self.top, 0)
         self.empty = cells
 
     def opened(self, node: np.ndarray, level: np.ndarray, row: np.ndarray, half: int) -> np.ndarray:
