@@ -25,11 +25,12 @@ from eventloom.sources import (
     write_parquet,
     write_partitioned,
 )
+from eventloom.sources.compaction import Bounds, files_of, misfits
 from eventloom.sources.days import calendar_of
 from eventloom.streaming import DailyIngest
 from eventloom.suite import analyses  # noqa: F401 - its SQL is used here too
 from eventloom.suite.registry import ORACLE, file_copy, query, rounded
-from eventloom.workspace import new_folder
+from eventloom.workspace import new_folder, stage
 
 CHECKOUT_COLUMNS = ("MaterialType", "CheckoutYear", "CheckoutMonth", "Checkouts", "Title", "ISBN", "Creator")
 CHECKOUT_SCHEMA = T.StructType([schemas.CHECKOUTS[name] for name in CHECKOUT_COLUMNS])
@@ -324,3 +325,32 @@ def ingested_channels(t: Tables) -> DataFrame:
     """Raw days, ingest, sessions from the ingested events, channels: the whole way, against the SQL on the base tables."""
     events = _ingested(t).table("events")
     return traffic.traffic_channels(user_day_sessions(events), events)
+
+
+@query(
+    "compacted_layout",
+    "ga_events",
+    """SELECT strftime(event_date, '%Y%m%d') AS event_date, count(*) AS events,
+  round(sum(ecommerce_purchase_revenue_in_usd), 2) AS revenue, true AS fewer_files, CAST(0 AS BIGINT) AS out_of_bounds
+FROM ga_events GROUP BY 1""",
+)
+def compacted_layout(t: Tables) -> DataFrame:
+    """Days written in many small files, compacted: the same rows in fewer files, none out of bounds but a day's last."""
+    raw, target = new_folder(t.spark, "raw"), new_folder(t.spark, "ingested")
+    write_partitioned(t.events_raw().withColumn("day", F.col("event_date")), raw, ["day"])
+    ingest = DailyIngest(t.spark, raw, target, prefix="day=", max_rows_per_file=8)
+    ingest.run()
+    before = files_of(ingest.table("events"), "event_date").groupBy("part").agg(F.count(F.lit(1)).alias("files"))
+    before = stage(before, "files-before")
+    bounds = Bounds(smallest=24 * 1024, largest=1024 * 1024)
+    ingest.compact(bounds)
+    events = ingest.table("events")
+    after = misfits(files_of(events, "event_date"), bounds).join(before, "part")
+    days = events.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("ecommerce_purchase_revenue_in_usd").alias("revenue")
+    )
+    fewer = (F.col("n_files") < F.col("files")) | (F.col("files") == 1)
+    checked = days.join(after, F.col("event_date") == F.col("part")).select(
+        "event_date", "events", "revenue", fewer.alias("fewer_files"), (F.col("too_small") + F.col("too_large")).alias("out_of_bounds")
+    )
+    return rounded(checked, 2, "revenue")

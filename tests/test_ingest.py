@@ -1,12 +1,17 @@
 """Incremental ingest: re-run, new day, late file, replay, failing day, vanished items, further columns, odd names."""
 
+import datetime as dt
 import os
 
+import pandas as pd
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from eventloom import schemas
 from eventloom.plans import quality
+from eventloom.sources.compaction import Bounds, files_of, misfits, pack
+from eventloom.sources.listing import list_files
 from eventloom.streaming import DailyIngest
 from eventloom.streaming.ingest import IngestError
 from tests.conftest import rows
@@ -189,3 +194,128 @@ def test_requested_days_that_are_there_are_skipped(spark, ingest):
     latest = quality.latest_log(ingest.log())
     assert rows(latest.select("day", "status")) == [("20240101", "skipped"), ("20240102", "success")]
     assert counts(ingest) == {"20240101": 3, "20240102": 2}
+
+
+def test_a_rebuilt_day_stays_readable(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    day_file(spark, ingest.raw, "20240102", range(4))
+    ingest.run()
+    planned = ingest.table("events").where("event_date = '20240101'")
+    day_file(spark, ingest.raw, "20240101", range(10, 17))
+    ingest.run()
+    assert planned.count() == 3 and rows(planned.select("user_pseudo_id")) == [("u0",), ("u1",), ("u2",)]
+    assert counts(ingest) == counts(ingest, "params") == {"20240101": 10, "20240102": 4}
+
+
+def test_a_broken_rebuild_leaves_the_old_day(spark, ingest, monkeypatch):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    ingest.run()
+    day_file(spark, ingest.raw, "20240101", range(10, 12))
+    write, published = ingest.tables.write, ingest.tables.current()
+
+    def broken(name, *rest, **options):
+        if name == "items":
+            raise OSError("disk full")
+        return write(name, *rest, **options)
+
+    monkeypatch.setattr(ingest.tables, "write", broken)
+    with pytest.raises(IngestError):
+        ingest.run()
+    assert counts(ingest) == counts(ingest, "params") == counts(ingest, "items") == {"20240101": 3}
+    assert ingest.tables.current() == published
+    monkeypatch.undo()
+    ingest.run()
+    assert counts(ingest) == counts(ingest, "items") == {"20240101": 5}
+
+
+def test_old_versions_go_after_the_retention_time(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    day_file(spark, ingest.raw, "20240102", range(4))
+    ingest.run()
+    ingest.ingest_days(["20240101"])
+    old = ingest.table("events", )
+    ingest.ingest_days(["20240101"])
+    versions = lambda: len(list_files(spark, ingest.path("events"), "version="))
+    ingest.tables.expire()
+    assert versions() == 3 and old.count() == 7
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=8)
+    ingest.tables.expire(later)
+    # the first version still has the second day; its first day and the second version are gone
+    assert versions() == 2 and counts(ingest) == counts(ingest, "items") == {"20240101": 3, "20240102": 4}
+    assert len(spark.read.parquet(ingest.path("events")).select("version", "event_date").distinct().collect()) == 2
+    ingest.run()
+    assert counts(ingest) == {"20240101": 3, "20240102": 4}
+
+
+def test_two_writers_do_not_lose_a_change(spark, ingest):
+    tables = ingest.tables
+    tables.publish("20240101000000-0000000a", ["a"], {"events": {"a": 1}})
+    current, turns = tables.current, []
+
+    def late():
+        seen = current()
+        if not turns:
+            turns.append(1)
+            tables.publish("20240101000000-0000000b", ["b"], {"events": {"b": 2}})
+        return seen
+
+    tables.current = late
+    tables.publish("20240101000000-0000000c", ["c"], {"events": {"c": 3}})
+    assert current().rows("events") == {"a": 1, "b": 2, "c": 3} and current().number == 3
+    # a writer that only rearranges rows gives way to a change of the rows
+    tables.current, seen = current, current()
+    tables.publish("20240101000000-0000000d", ["a"], {"events": {"a": 5}})
+    tables.publish("20240101000000-0000000e", ["a", "b"], {"events": {"a": 1, "b": 2}}, seen=seen)
+    assert tables.current().parts["events"]["a"] == ("20240101000000-0000000d", 5)
+    assert tables.current().parts["events"]["b"] == ("20240101000000-0000000e", 2)
+
+
+def test_tables_do_not_open_files_to_plan(spark, ingest):
+    day_file(spark, ingest.raw, "20240101", range(3))
+    ingest.run()
+    assert "version" not in ingest.table("events").columns
+    assert ingest.tables.current().rows("events") == {"20240101": 3}
+    events = ingest.table("events").where("event_date = '20240109'")
+    assert events.count() == 0
+
+
+def test_compaction(spark, tmp_path):
+    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), rebalance=False, max_rows_per_file=150)
+    day_file(spark, ingest.raw, "20240101", range(3000))
+    day_file(spark, ingest.raw, "20240102", range(40))
+    for k in range(5):
+        day_file(spark, ingest.raw, "20240103", range(100 * k, 100 * k + 90))
+    ingest.run()
+    before = {name: rows(ingest.table(name)) for name in ("params", "items")}
+    planned = ingest.table("params")
+    files = lambda name: files_of(ingest.table(name), "event_date")
+    sizes = [r.length for r in files("params").where("part = '20240101'").collect()]
+    assert len(sizes) == 20
+    bounds = Bounds(smallest=max(sizes) + 1, largest=40 * max(sizes))
+    assert ingest.compact(bounds)["params"] == ["20240101", "20240103"]
+    assert {name: rows(ingest.table(name)) for name in before} == before
+    assert misfits(files("params"), bounds).where("too_large > 0 OR too_small > 0").count() == 0
+    assert files("params").where("part = '20240101'").count() < 20 and planned.count() == 3490
+    assert ingest.compact(bounds) == {"events": [], "params": [], "items": []}
+    # the other way: a large file is split
+    (size,) = {r.length for r in files("params").where("part = '20240101'").orderBy(F.desc("length")).limit(1).collect()}
+    bounds = Bounds(smallest=1, largest=size - 1)
+    assert "20240101" in ingest.compact(bounds)["params"]
+    assert {name: rows(ingest.table(name)) for name in before} == before
+    # rows keep their order
+    ids = [r.event_timestamp for r in spark.read.parquet(files("params").where("part = '20240101'").orderBy("path").first().path).collect()]
+    assert ids == sorted(ids)
+
+
+@given(st.lists(st.integers(1, 500), min_size=1, max_size=40), st.integers(1, 30))
+def test_packing(lengths, smallest):
+    bounds = Bounds(smallest, 16 * smallest)
+    plan = pack(pd.DataFrame({"path": [f"f{i:03d}" for i in range(len(lengths))], "length": lengths}), bounds)
+    size = dict(zip([f"f{i:03d}" for i in range(len(lengths))], lengths))
+    new = {}
+    for row in plan.itertuples():
+        for piece in range(row.pieces):
+            new[row.first + piece] = new.get(row.first + piece, 0) + size[row.path] / row.pieces
+    assert sorted(new) == list(range(len(new))) and sum(new.values()) == pytest.approx(sum(lengths))
+    assert all(n <= bounds.largest for n in new.values())
+    assert sum(n < bounds.aim / 2 for n in new.values()) <= 1
