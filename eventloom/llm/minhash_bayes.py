@@ -1,11 +1,16 @@
 """Near duplicates by MinHash bands and sequential Bayesian verification.
 
 Documents with equal shingle sets form one class, and classes are what is compared. Classes that agree on a band are
-candidates; candidates connected with each other form a block, and a block is compared in pieces of bounded size, each
-pair of pieces a task of its own. There, pairs that share a band have their signatures compared batch by batch. After
-each batch a pair goes if the posterior probability that its similarity reaches the threshold is below the chosen miss
-probability. What survives is verified on the full sets. A task reports a spanning forest of its links, which has the
-same components and is never longer than its documents.
+candidates. A candidate pair has its signatures compared batch by batch. After each batch it goes if the posterior
+probability that its similarity reaches the threshold is below the chosen miss probability. What survives is verified on
+the full sets.
+
+1. Every class is compared with its hub, the smallest class it shares a band with. That is one comparison a class and
+   joins nearly all of a large group of copies, however large it is.
+2. Bands whose classes are not all in one component by then are open. Classes of open bands that are connected through
+   them form a block, and a block is compared in pieces of bounded size, each pair of pieces a task of its own; classes
+   that are joined already are not verified again. A task reports a spanning forest of its links, which has the same
+   components and is never longer than its documents.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventloom.llm.columns import row_key, staged
+from eventloom.llm.columns import boxed, row_key, staged, unboxed
 from eventloom.llm.components import components
 from eventloom.llm.words import Words, gram_hashes, mix, range_hashes, signed, slices, split_words, unsigned
 
@@ -189,6 +194,9 @@ def _verifier(p: Params):
         flag = np.zeros(len(vocabulary), bool)
         split = int(np.searchsorted(piece, piece[0], "right")) if piece[0] != piece[-1] else 0
         forest, links = _Forest(len(at)), []
+        _, joined, label = np.unique(table.column("label").to_numpy(), return_index=True, return_inverse=True)
+        for i, k in enumerate(joined[label].tolist()):
+            forest.parent[i] = k
         for i, partners in surviving(sketch[:split] if split else sketch, sketch[split:], p, bounds, not split):
             flag[sets[i]] = True
             for j in (partners + split).tolist():
@@ -206,16 +214,59 @@ def _verifier(p: Params):
     return run
 
 
+def _pieces(members: DataFrame, group: str, p: Params) -> DataFrame:
+    """``members`` (``cls``, ``n``, ``group``) with the number of ``pieces`` of their group and their own ``piece``."""
+    pieces = members.groupBy(group).agg(
+        F.greatest(
+            F.ceil(F.count("*") / p.piece_docs), F.ceil(F.sum("n") / p.piece_shingles), F.lit(1)
+        ).cast("int").alias("pieces")
+    )
+    return members.join(pieces, group).withColumn("piece", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("pieces")).cast("int"))
+
+
+def _with_hubs(work: DataFrame, hubs: DataFrame, p: Params) -> DataFrame:
+    """Classes by hub and ``part``, a bounded number together, each part with its hub as the other piece."""
+    members = _pieces(hubs.where("cls <> hub").join(work, "cls"), "hub", p)
+    own = members.select("hub", F.col("piece").alias("part"), F.lit(1).alias("piece"), "cls", "sketch", "text")
+    parts = members.select("hub", F.col("piece").alias("part")).distinct()
+    other = parts.join(work, F.col("hub") == F.col("cls")).select("hub", "part", F.lit(0).alias("piece"), "cls", "sketch", "text")
+    return own.unionByName(other).withColumn("label", F.col("cls"))
+
+
+def _in_pieces(work: DataFrame, open_bands: DataFrame, p: Params) -> DataFrame:
+    """Classes by block and pair of pieces. A class meets the smallest class of each of its bands. It is linked with the
+    smallest of these, and they are linked with that one too: the same blocks as by a link per band, with about as many
+    links as classes."""
+    least = open_bands.groupBy("band").agg(F.min("cls").alias("least"))
+    meets = open_bands.join(least, "band").groupBy("cls", "label").agg(F.collect_set("least").alias("leasts"))
+    meets = staged(meets.withColumn("hub", F.array_min("leasts")), "hubs")
+    near = meets.select("cls", "hub").unionByName(meets.select(F.explode("leasts").alias("cls"), "hub").distinct())
+    blocks = components(near.where("cls <> hub"), "cls", "hub").withColumnsRenamed({"node": "cls", "label": "block"})
+    members = blocks.join(meets.select("cls", "label"), "cls").join(work, "cls")
+    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
+    return _pieces(members, "block", p).select("*", other).select(
+        "block", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "piece", "cls", "label", "sketch", "text"
+    )
+
+
+def _verified(grouped: DataFrame, by: list[str], p: Params, name: str) -> DataFrame:
+    return staged(grouped.groupBy(*by).applyInArrow(_verifier(p), "a bigint, b bigint"), name)
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Params = Params()) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest key, NULL last, then of the smallest row key.
 
     Texts without words are no duplicates of each other, but rows that agree in key and text are; all columns stay.
     """
     found = near_duplicates(docs.select(key, text), key, text, p)
-    best = F.min(F.struct(F.col(key).isNull().alias("x"), F.col(key).alias("k"), F.col("row").alias("r")))
-    chosen = staged(found.groupBy("group").agg(best.alias("b")).select(F.col("b.r").alias("__chosen")), "near-chosen")
-    rows = docs.withColumn("__row", row_key(text, key))
-    return rows.join(chosen, F.col("__row") == F.col("__chosen"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+    best = F.min(F.struct(F.col(key).isNull().alias("x"), F.col(key).alias("k"), F.col("row").alias("r"))).alias("b")
+    chosen = found.groupBy("group").agg(best).select(F.col("b.r").alias("chosen"))
+    times = found.groupBy(F.col("row").alias("of")).agg(F.count("*").alias("times"))
+    chosen = staged(chosen.join(times, F.col("chosen") == F.col("of")).select("chosen", "times"), "near-chosen")
+    kept = boxed(docs, place=row_key(text, key)).join(chosen, F.col("place") == F.col("chosen"))
+    # rows that agree in id and text are the only ones that must meet
+    copies = kept.where("times > 1").dropDuplicates(["place"])
+    return unboxed(kept.where("times = 1").unionByName(copies))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Params = Params()) -> DataFrame:
@@ -243,41 +294,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
     ends = banded.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
     # written out, so that the join has a plain exchange on both sides and Spark can split a frequent band
     buckets = staged(ends.select("band", "least"), "buckets")
-    # A class meets the smallest class of each of its bands. It is linked with the smallest of these, and they are linked
-    # with that one too: the same components as by a link per band, with about as many links as classes.
-    meets = banded.join(buckets, "band").groupBy("cls").agg(F.collect_set("least").alias("leasts"))
-    meets = staged(meets.withColumn("hub", F.array_min("leasts")), "hubs")
-    hubs = meets.select(F.explode("leasts").alias("cls"), "hub").distinct()
-    near = meets.select("cls", "hub").unionByName(hubs).where("cls <> hub")
-    blocks = components(near, "cls", "hub").withColumnsRenamed({"node": "cls", "label": "block"})
-
+    shared = staged(banded.join(buckets, "band").select("band", "cls", "least").distinct(), "shared-bands")
     first = full.groupBy("cls").agg(F.min("row").alias("row"), F.min("key").alias("first_key"))
     first = staged(first.join(full.groupBy("cls").agg(F.max("n_shingles").alias("n")), "cls"), "classes")
-    members = blocks.join(first, "cls")
-    pieces = members.groupBy("block").agg(
-        F.greatest(
-            F.ceil(F.count("*") / p.piece_docs), F.ceil(F.sum("n") / p.piece_shingles), F.lit(1)
-        ).cast("int").alias("pieces")
-    )
-    placed = (
-        members.join(pieces, "block")
-        .withColumn("piece", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("pieces")).cast("int"))
-        .select("cls", "row", "block", "piece", "pieces")
+    hubs = shared.groupBy("cls").agg(F.min("least").alias("hub"))
+    wanted = first.join(shared.select("cls").distinct(), "cls", "left_semi").select("cls", "row", "n")
+    # only the candidates' texts leave the place where they are read, and of rows that agree in id and text only one
+    texts = rows.join(wanted.select("row"), F.col("__row") == F.col("row"), "left_semi").dropDuplicates(["__row"])
+    sketch = full.select(F.col("row").alias("__r"), F.col("cls").alias("__c"), "sketch").join(
+        wanted.select(F.col("row").alias("r")), F.col("__r") == F.col("r"), "left_semi"
     )
-    sketch = full.select(F.col("row").alias("__r"), F.col("cls").alias("__c"), "sketch").dropDuplicates(["__r"])
     work = staged(
-        placed.join(sketch, (F.col("row") == F.col("__r")) & (F.col("cls") == F.col("__c"))).drop("__r", "__c"), "blocks"
-    )
-    # rows that agree in id and text are one text here; merged map by map, before any of them meet
-    once = rows.select("__row", "text").dropDuplicates(["__row"])
-    texts = once.join(work, F.col("__row") == F.col("row")).drop("__row", "row")
-    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
-    pairs = texts.select("*", other).select(
-        "block", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "piece", "cls", "sketch", "text"
-    )
-    found = staged(
-        pairs.groupBy("block", "lo", "hi").applyInArrow(_verifier(p), "a bigint, b bigint"), "near-links"
+        wanted.join(sketch.dropDuplicates(["__r", "__c"]), (F.col("row") == F.col("__r")) & (F.col("cls") == F.col("__c")))
+        .join(texts.select("__row", "text"), F.col("row") == F.col("__row"))
+        .select("cls", "n", "sketch", "text"),
+        "near-texts",
     )
+    starred = _verified(_with_hubs(work, hubs, p), ["hub", "part"], p, "hub-links")
+    found = starred
+    joined = components(starred, "a", "b").withColumnsRenamed({"node": "cls", "label": "joined"})
+    label = F.coalesce("joined", "cls").alias("label")
+    labelled = shared.join(joined, "cls", "left").select("band", "cls", label)
+    ends = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    open_bands = staged(labelled.join(ends.where("least < most").select("band"), "band"), "open-bands")
+    if not open_bands.isEmpty():
+        rest = _verified(_in_pieces(work, open_bands, p), ["block", "lo", "hi"], p, "near-links")
+        found = starred.unionByName(rest)
     labels = components(found, "a", "b")
     named = first.select("cls", "first_key").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("label", F.coalesce("label", "cls"))

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from eventloom.llm.columns import boxed, column, unboxed
 from eventloom.llm.words import (
     IS_SPACE_OR_MARK,
     Words,
@@ -307,6 +308,7 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", p: Params = Params()
 ) -> DataFrame:
     """``docs`` without the rows whose text covers a test item; all columns stay. Cases as in ``covered_items``."""
+    rows = boxed(docs, text, text=F.col(text))
     for shared in _passes(benchmark.withColumn("__item", F.lit(0)), "__item", item_text, p):
-        docs = docs.mapInArrow(_clean(shared, text, p), docs.schema)
-    return docs
+        rows = rows.mapInArrow(_clean(shared, "text", p), rows.schema)
+    return unboxed(rows, F.col("text").alias(text)).select(*(column(c) for c in docs.columns))
