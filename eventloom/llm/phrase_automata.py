@@ -6,8 +6,8 @@ A window is ``Params.window`` consecutive words. Two equal windows share the sam
 1. every text reports its anchors, one for about every fourteen words, and anchors that occur once are dropped;
 2. texts are cut to the passages around shared anchors, and their windows are counted: those found twice are repeated;
 3. each repeated window is taken from one of its places; neighbouring windows form phrases of bounded length;
-4. passages are dealt into blocks of bounded size, and each block gets the phrases that have an anchor it holds. The
-   block's automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase
+4. passages are dealt into blocks of bounded size, and each block gets the phrases that have an anchor it holds, in
+   parts of bounded size that are tasks of their own. A part's automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase
    contains a whole piece. All passages of the block stream through it, and a hit is extended as far as phrase and text
    agree; where that is a window or more, all of it is repeated;
 5. the words found are removed from the whole texts.
@@ -47,8 +47,8 @@ _CODES = 0x10FFFF - 0xE000
 
 @dataclass(frozen=True)
 class Params:
-    """``block_chars`` bounds the passages one automaton serves and ``phrase_windows`` the length of a phrase; neither
-    changes the result."""
+    """``block_chars`` bounds the passages one automaton serves and the phrases it holds, ``phrase_windows`` the length of
+    a phrase; neither changes the result."""
 
     window: int = 35
     gram: int = 8
@@ -318,15 +318,23 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
     block = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(max(1, -(-chars // p.block_chars)))).alias("block")
     having = phrases.select("number", F.explode("anchors").alias("anchor"))
     asked = staged(hits.select("anchor", block).distinct().join(having, "anchor").select("block", "number").distinct(), "asked")
-    wanted = asked.join(phrases.select("number", "phrase"), "number").select("block", "phrase")
+    # the phrases of a block are dealt in parts as large as the passages of one, and each part meets these by itself
+    chars = asked.join(phrases.select("number", F.length("phrase").alias("chars")), "number").groupBy("block").agg(F.sum("chars").alias("chars"))
+    parts = chars.select("block", F.greatest(F.ceil(F.col("chars") / p.block_chars), F.lit(1)).cast("int").alias("parts"))
+    parts = staged(parts, "phrase-parts", small=True)
+    wanted = asked.join(phrases.select("number", "phrase"), "number").join(parts, "block").select(
+        "block", F.pmod(F.xxhash64("number", F.lit(13)), F.col("parts")).cast("int").alias("part"), "phrase"
+    )
+    dealt = passages.select(block, "row", "at", "text").join(parts, "block").select(
+        "block", "row", "at", "text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
     found = staged(
-        passages.select(block, "row", "at", "text")
-        .groupBy("block")
-        .cogroup(wanted.groupBy("block"))
+        dealt.groupBy("block", "part")
+        .cogroup(wanted.groupBy("block", "part"))
         .applyInArrow(_locate(p), "row bigint, at int, to int"),
         "repeated",
     )
-    discard(hits, passages, phrases, asked)
+    discard(hits, passages, phrases, asked, parts)
     return found.groupBy("row").agg(F.collect_set(F.struct("at", "to")).alias("spans"))
 
 

@@ -47,6 +47,32 @@ def test_substring_dedup_equals_brute_force(spark, p):
     assert sum(w[2] for w in want) > 500
 
 
+def test_phrases_of_a_block_are_dealt_in_parts(spark, monkeypatch):
+    """Pairs of texts behind one header: its gram is the anchor of a phrase of every pair."""
+    header = " ".join(f"head{i}" for i in range(8))
+    rows = []
+    for k in range(60):
+        body = prose(45, 900 + k)
+        rows += [(2 * k, header + " " + body + " x"), (2 * k + 1, "y " + header + " " + body)]
+    locate = phrase_automata._locate
+
+    def watched(p):
+        run = locate(p)
+
+        def bounded(passages, phrases):
+            size = sum(len(x) for x in phrases.column("phrase").to_pylist())
+            assert size < 4 * p.block_chars, "a part holds too many phrases"
+            return run(passages, phrases)
+
+        return bounded
+
+    monkeypatch.setattr(phrase_automata, "_locate", watched)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = phrase_automata.without_repeats(df, p=phrase_automata.Params(block_chars=2000)).collect()
+    want = dict(zip([d for d, _ in rows], brute.without_repeats([t for _, t in rows])))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out} == want
+
+
 def test_substring_dedup_of_test_documents_and_of_none(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = df.collect()
