@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from eventloom.operators.udf_policy import apply_policy
-from eventloom.workspace import shared_folder, stage
+from eventloom.operators.udf_policy import apply_policy, udf_report
+from eventloom.workspace import note_python, shared_folder, stage
 
 
 def compute(df: DataFrame, mode: str = "table", udf_policy: str = "ignore") -> DataFrame:
     """Execute once and return a frame to query further.
 
     ``table`` writes Parquet in the shared folder, ``checkpoint`` uses Spark's reliable checkpoint, ``cache`` keeps
-    blocks on the executors (recomputed when one is lost).
+    blocks on the executors (recomputed when one is lost). Python code that made a ``table`` stays known to
+    ``udf_report`` and the policies of later frames.
     """
     apply_policy(df, udf_policy)
     if mode == "table":
-        return stage(df, "compute")
+        staged, nodes = stage(df, "compute"), udf_report(df)
+        if nodes:
+            note_python(staged, nodes)
+        return staged
     if mode == "checkpoint":
         if df.sparkSession.sparkContext.getCheckpointDir() is None:
             df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))

@@ -21,9 +21,13 @@ def with_total(grouped: DataFrame, value: str, name: str) -> DataFrame:
     """Add the grand total of ``value`` to each row of an already grouped frame.
 
     The total is a scalar subquery over the same grouping: no join, and no window that pulls all groups into one task.
-    Nothing runs before the result is asked for; Spark reuses the exchange of the grouping, so it runs once.
+    Nothing runs before the result is asked for. A subquery is planned by itself, and Spark shares an exchange with it
+    only if both ask for the same columns; so it takes a checksum over all of them along with the total, and the
+    grouping runs once.
     """
-    return grouped.withColumn(name, grouped.agg(F.sum(value)).scalar())
+    whole = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in grouped.columns]))
+    total = grouped.agg(F.struct(F.sum(value).alias("total"), whole.alias("whole"))).scalar()
+    return grouped.withColumn(name, total.getField("total"))
 
 
 def share_of_total(grouped: DataFrame, value: str, name: str) -> DataFrame:

@@ -81,6 +81,9 @@ ITEMS_FLAT = T.StructType(
     + _fields(year=INT, month=INT).fields
 )
 
+# Per day and event the events and a sketch of the users.
+DAILY_REACH = _fields(event_date=STRING, event_name=STRING, events=LONG, users=T.BinaryType(), year=INT, month=INT)
+
 # CSV with an identifier column that looks empty at the head of the file: its type is given, not inferred.
 CHECKOUTS = _fields(
     UsageClass=STRING,

@@ -1,5 +1,6 @@
 """Readers, writers and file listings."""
 
+from eventloom.sources.clustering import write_curved
 from eventloom.sources.days import available_days, day_plan, list_day_paths, read_day_range, read_days
 from eventloom.sources.listing import folder_files, list_files, path_exists, remove_folder
 from eventloom.sources.readers import (

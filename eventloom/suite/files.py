@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from eventloom import schemas
 from eventloom.fixtures import Tables
 from eventloom.operators.sessions import user_day_sessions
-from eventloom.plans import checkouts, pages, quality, sales, traffic
+from eventloom.plans import checkouts, pages, quality, reach, sales, traffic
 from eventloom.sources import (
     day_plan,
     convert,
@@ -25,6 +25,7 @@ from eventloom.sources import (
     write_parquet,
     write_partitioned,
 )
+from eventloom.sources.clustering import write_curved
 from eventloom.sources.compaction import Bounds, files_of, misfits
 from eventloom.sources.days import calendar_of
 from eventloom.streaming import DailyIngest
@@ -354,3 +355,50 @@ def compacted_layout(t: Tables) -> DataFrame:
         "event_date", "events", "revenue", fewer.alias("fewer_files"), (F.col("too_small") + F.col("too_large")).alias("out_of_bounds")
     )
     return rounded(checked, 2, "revenue")
+
+
+@query(
+    "point_lookup",
+    "ga_events",
+    """SELECT event_name, user_pseudo_id, event_date, count(*) AS n, round(sum(ecommerce_purchase_revenue_in_usd), 2) AS revenue
+FROM ga_events WHERE event_name = 'purchase' AND event_date = (SELECT min(event_date) FROM ga_events WHERE event_name = 'purchase')
+  AND user_pseudo_id <= (SELECT user_pseudo_id FROM ga_events WHERE event_name = 'purchase' ORDER BY event_date, user_pseudo_id LIMIT 1)
+GROUP BY ALL""",
+)
+def point_lookup(t: Tables) -> DataFrame:
+    """Files along a curve through name, user and day, then a filter on all three: the least buyer of the first day."""
+    path = new_folder(t.spark, "curved")
+    columns = ["event_name", "user_pseudo_id", "event_date"]
+    write_curved(t.events(), path, columns, bloom_columns=["user_pseudo_id"])
+    events = t.spark.read.parquet(path)
+    bought = events.where(F.col("event_name") == "purchase")
+    first = bought.agg(F.min(F.struct("event_date", "user_pseudo_id"))).first()[0]
+    if first is None:
+        found = bought.limit(0)
+    else:
+        found = bought.where((F.col("event_date") == F.lit(first[0])) & (F.col("user_pseudo_id") <= F.lit(first[1])))
+    sums = found.groupBy("event_name", "user_pseudo_id", "event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ecommerce_purchase_revenue_in_usd").alias("revenue")
+    )
+    return rounded(sums, 2, "revenue")
+
+
+@query(
+    "users_by_sketch",
+    "ga_events",
+    """SELECT event_name, count(*) AS events, true AS within_five_percent FROM ga_events
+WHERE event_date >= (SELECT min(event_date) + INTERVAL 3 DAY FROM ga_events)
+  AND event_date <= (SELECT max(event_date) - INTERVAL 3 DAY FROM ga_events) GROUP BY 1""",
+)
+def users_by_sketch(t: Tables) -> DataFrame:
+    """Users per event over a range of days from the ingested daily sketches, held against the exact count."""
+    reach_table = _ingested(t).table("reach")
+    events = t.events()
+    days = events.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
+    lo, hi = days["lo"] + dt.timedelta(days=3), days["hi"] - dt.timedelta(days=3)
+    estimated = reach.users_by_event(reach_table, f"{lo:%Y%m%d}", f"{hi:%Y%m%d}")
+    exact = events.where(F.col("event_date").between(F.lit(lo), F.lit(hi))).groupBy("event_name").agg(
+        F.countDistinct("user_pseudo_id").alias("exact")
+    )
+    near = F.abs(F.col("users") - F.col("exact")) <= 0.05 * F.col("exact")
+    return estimated.join(exact, "event_name").select("event_name", "events", near.alias("within_five_percent"))

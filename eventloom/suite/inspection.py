@@ -19,7 +19,7 @@ from eventloom.operators import (
     profile,
 )
 from eventloom.plans import funnel, quality, revenue, sales
-from eventloom.sources import read_partitioned
+from eventloom.sources import footers, read_partitioned
 from eventloom.suite.registry import file_copy, query, rounded, taken_from
 
 BASE_TABLES = (
@@ -31,16 +31,20 @@ BASE_TABLES = (
 @query(
     "sql_over_frame",
     "ga_events",
-    """SELECT event_date, event_name, count(DISTINCT user_pseudo_id) AS users
-FROM (SELECT * FROM ga_events WHERE event_name IN ('purchase', 'add_to_cart', 'view_item')) k GROUP BY ALL""",
+    """SELECT CASE WHEN active >= 5 THEN 'regular' ELSE 'occasional' END AS habit, count(*) AS users, CAST(max(active) AS BIGINT) AS most_days
+FROM (SELECT user_pseudo_id, count(DISTINCT event_date) AS active FROM ga_events WHERE user_pseudo_id IS NOT NULL GROUP BY 1) u
+GROUP BY 1""",
 )
 def sql_over_frame(t: Tables) -> DataFrame:
-    """Filter and project with verbs, then aggregate with SQL over the registered frame."""
-    wanted = F.col("event_name").isin("purchase", "add_to_cart", "view_item")
-    prepared = t.events().where(wanted).select("event_date", "event_name", "user_pseudo_id")
+    """Active days per user with verbs, then users by habit with SQL over the registered frame."""
+    known = t.events().where(F.col("user_pseudo_id").isNotNull())
+    days = known.groupBy("user_pseudo_id").agg(F.countDistinct("event_date").alias("active"))
     shop = catalog.Catalog(t.spark, read_only=True)
-    shop.register("prepared_events", prepared)
-    return shop.sql("select p.event_date, p.event_name, count(distinct p.user_pseudo_id) as users from prepared_events p group by all")
+    shop.register("user_days", days)
+    return shop.sql(
+        """SELECT if(active < 5, 'occasional', 'regular') AS habit, count(*) AS users, max(active) AS most_days
+           FROM user_days GROUP BY habit"""
+    )
 
 
 @query(
@@ -109,7 +113,7 @@ def stored_tables(t: Tables) -> DataFrame:
     " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in BASE_TABLES),
 )
 def table_row_counts(t: Tables) -> DataFrame:
-    return catalog.row_counts({name: t.base(name) for name in BASE_TABLES})
+    return footers.row_counts(t.spark, {name: f"{t.folder}/{name}.parquet" for name in BASE_TABLES})
 
 
 _EVENT_TYPES = (
@@ -132,7 +136,7 @@ def schema_table(t: Tables) -> DataFrame:
 
 @query("row_count", "", "SELECT count(*) AS rows FROM lineitem")
 def row_count(t: Tables) -> DataFrame:
-    return t.base("lineitem").agg(F.count(F.lit(1)).alias("rows"))
+    return footers.count_rows(t.spark, f"{t.folder}/lineitem.parquet")
 
 
 @query("compute_then_filter", "sales", "SELECT region, count(*) AS n FROM sales GROUP BY region HAVING count(*) > 100")

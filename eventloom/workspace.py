@@ -7,12 +7,17 @@ against ``spark.sql.autoBroadcastJoinThreshold`` and not by a hint.
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Part of the path of every staged table.
+STAGED = "/eventloom/"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a new temporary one only for a local master without that setting."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -26,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a folder nobody else writes to (not created yet)."""
-    return f"{shared_folder(spark)}/eventloom/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}{STAGED}{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -39,6 +44,31 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return staged
 
 
+LINEAGE = "_python_nodes.json"
+
+
+def note_python(staged: DataFrame, nodes: list[str]) -> None:
+    """Leave a note next to the files of a staged table: the Python plan nodes that its rows went through."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staged.staged_folder}/{LINEAGE}")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    stream.write(bytearray(json.dumps(nodes).encode()))
+    stream.close()
+
+
+def noted_python(spark: SparkSession, folder: str) -> list[str]:
+    """What ``note_python`` left in a folder; nothing for other folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{LINEAGE}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def discard(*staged: DataFrame) -> None:
     """Remove the files of staged tables that nothing reads any more."""
     for table in staged:

@@ -9,12 +9,12 @@ from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from eventloom import schemas
-from eventloom.plans import quality
+from eventloom.plans import quality, reach
 from eventloom.sources.compaction import Bounds, files_of, misfits, pack
 from eventloom.sources.listing import list_files
 from eventloom.streaming import DailyIngest
 from eventloom.streaming.ingest import IngestError
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 ITEM = ("i1", "Shirt", "Apparel", 10.0, 9.0, 2, 18.0)
 
@@ -296,7 +296,7 @@ def test_compaction(spark, tmp_path):
     assert {name: rows(ingest.table(name)) for name in before} == before
     assert misfits(files("params"), bounds).where("too_large > 0 OR too_small > 0").count() == 0
     assert files("params").where("part = '20240101'").count() < 20 and planned.count() == 3490
-    assert ingest.compact(bounds) == {"events": [], "params": [], "items": []}
+    assert ingest.compact(bounds) == {"events": [], "params": [], "items": [], "reach": []}
     # the other way: a large file is split
     (size,) = {r.length for r in files("params").where("part = '20240101'").orderBy(F.desc("length")).limit(1).collect()}
     bounds = Bounds(smallest=1, largest=size - 1)
@@ -307,6 +307,23 @@ def test_compaction(spark, tmp_path):
     assert ids == sorted(ids)
 
 
+def test_users_of_a_period_without_its_events(spark, ingest):
+    for day in ("20240101", "20240102", "20240103"):
+        day_file(spark, ingest.raw, day, range(int(day[-2:]) * 100, int(day[-2:]) * 100 + 200), event="view")
+    ingest.run()
+    found = reach.users_by_event(ingest.table("reach"), "20240101", "20240102")
+    text = plan(found)
+    assert "/reach/" in text and "/events/" not in text
+    (row,) = found.collect()
+    assert row.events == 400 and abs(row.users - 300) <= 15
+    (row,) = reach.users_of_any(ingest.table("reach")).collect()
+    assert row.events == 600 and abs(row.users - 400) <= 20
+    day_file(spark, ingest.raw, "20240102", range(1000, 1100), event="buy")
+    ingest.run()
+    got = {r.event_name: r.users for r in reach.users_by_event(ingest.table("reach")).collect()}
+    assert abs(got["buy"] - 100) <= 5 and abs(got["view"] - 400) <= 20
+
+
 @given(st.lists(st.integers(1, 500), min_size=1, max_size=40), st.integers(1, 30))
 def test_packing(lengths, smallest):
     bounds = Bounds(smallest, 16 * smallest)

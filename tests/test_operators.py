@@ -25,6 +25,7 @@ from eventloom.operators import (
     udf_report,
     with_total,
 )
+from eventloom.suite import QUERIES
 from tests.conftest import optimized, plan, rows
 
 
@@ -72,6 +73,26 @@ def test_shares_and_totals(spark):
     assert "Join" not in optimized(share_of_total(df, "n", "pct"))
 
 
+@pytest.mark.parametrize("name", ["category_rollup", "checkouts_with_total", "category_share", "traffic_channels"])
+def test_totals_do_not_run_the_grouping_again(spark, name):
+    """The plan that ran for the total reads what the grouping has shuffled, and no table."""
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    subquery = plan(df).split("== Initial Plan ==")[0]
+    assert "Subquery" in subquery and "ReusedExchange" in subquery and "Scan parquet" not in subquery
+
+
+def test_policy_knows_what_is_behind_a_staged_frame(spark):
+    python = spark.range(5).select(F.udf(lambda x: x, "long")("id").alias("x"))
+    staged = compute(python)
+    later = compute(staged.where("x > 1")).groupBy().count()
+    (node,) = udf_report(later)
+    assert node.startswith("staged: ") and "EvalPython" in node and node.count("staged") == 1
+    with pytest.raises(PythonUdfError):
+        compute(later, udf_policy="error")
+    assert udf_report(compute(spark.range(5))) == []
+
+
 def test_rolling_means(spark):
     daily = spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-02", 3.0), ("2024-01-12", 8.0)], "d string, v double")
     daily = daily.withColumn("d", F.to_date("d"))

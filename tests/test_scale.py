@@ -9,7 +9,7 @@ from eventloom.suite import QUERIES
 from tests.conftest import optimized, plan
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES_FILES = {"streaming_ingest", "ingested_channels"}
+WRITES_FILES = {"streaming_ingest", "ingested_channels", "compacted_layout", "users_by_sketch", "point_lookup"}
 
 
 @pytest.fixture(scope="module")

@@ -1,12 +1,15 @@
 """Readers, writers, partition pruning, day ranges and the Arrow source."""
 
 import datetime as dt
+import glob
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from eventloom import sources, workspace
+from eventloom.sources import footers
 from eventloom.sources.arrow_ipc import ArrowIpcDataSource
 from eventloom.sources.days import calendar
 from tests.conftest import plan, rows
@@ -138,6 +141,55 @@ def test_clustered_files_skip_row_groups(spark, events, tmp_path):
     assert found.count() == 1 and "PushedFilters: [IsNotNull(id), EqualTo(id,7)]" in plan(found)
 
 
+def test_files_on_a_curve_can_be_skipped_by_each_column(spark, tmp_path):
+    path = str(tmp_path / "p")
+    names = ["purchase", "view", "login", "error", "signup", "search", "share", "scroll"]
+    df = spark.range(40_000).select(
+        F.element_at(F.array(*map(F.lit, names)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(8)).cast("int") + 1).alias("event_name"),
+        F.pmod(F.xxhash64("id", F.lit(2)), F.lit(3000)).alias("user"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit(3)), F.lit(60)).cast("int")).alias("day"),
+        "id",
+    )
+    sources.write_curved(df, path, ["event_name", "user", "day"], files=700, bloom_columns=["user"])
+    written = spark.read.parquet(path)
+    assert written.columns == df.columns and written.count() == 40_000 and written.exceptAll(df).isEmpty()
+    wanted = {"event_name": "login", "user": 1234, "day": dt.date(2024, 2, 3)}
+    groups, hit = 0, dict.fromkeys(wanted, 0)
+    for file in glob.glob(f"{path}/*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        for g in range(footer.num_row_groups):
+            groups += 1
+            for k, (name, value) in enumerate(wanted.items()):
+                ends = footer.row_group(g).column(k).statistics
+                hit[name] += ends.min <= value <= ends.max
+    assert groups >= 600 and all(n < groups / 4 for n in hit.values()), (groups, hit)
+
+
+def test_curve_of_odd_columns(spark, tmp_path):
+    df = spark.createDataFrame([(None, "a"), (1, None), (None, None), (1, "a"), (2, "b")] * 3, "i int, s string")
+    for k, rows_ in enumerate((df, df.limit(0))):
+        sources.write_curved(rows_, str(tmp_path / str(k)), ["i", "s"])
+        assert spark.read.schema(df.schema).parquet(str(tmp_path / str(k))).exceptAll(rows_).isEmpty()
+        assert spark.read.schema(df.schema).parquet(str(tmp_path / str(k))).count() == rows_.count()
+    with pytest.raises(ValueError):
+        sources.write_curved(df, str(tmp_path / "x"), ["i", "s"], bits=32)
+
+
+def test_counts_and_extremes_come_from_footers(spark):
+    path = "/root/testdata/sf0.001/lineitem.parquet"
+    settings = {k: spark.conf.get(k) for k in (footers.SOURCES, "spark.sql.parquet.aggregatePushdown")}
+    counted = footers.count_rows(spark, path)
+    text = plan(counted)
+    assert "PushedAggregation: [COUNT(*)]" in text and "l_orderkey" not in text
+    assert counted.first().rows == spark.read.parquet(path).count()
+    ends = footers.extremes(spark, path, ["l_quantity", "l_orderkey"])
+    assert "PushedAggregation: [COUNT(l_quantity), MIN(l_quantity), MAX(l_quantity)" in plan(ends)
+    lo, hi = spark.read.parquet(path).agg(F.min("l_orderkey").cast("string"), F.max("l_orderkey").cast("string")).first()
+    assert tuple(ends.where("column_name = 'l_orderkey'").first())[2:] == (lo, hi)
+    assert {k: spark.conf.get(k) for k in settings} == settings
+    assert "PushedAggregation: [COUNT(*)]" not in plan(spark.read.parquet(path).groupBy().count())
+
+
 def test_columns_are_pruned(spark):
     df = sources.read_parquet(spark, "/root/testdata/sf0.001/events.parquet", ["event_type"])
     assert "ReadSchema: struct<event_type:string>" in plan(df)
