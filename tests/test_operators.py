@@ -25,6 +25,7 @@ from eventloom.operators import (
     udf_report,
     with_total,
 )
+from eventloom.operators import quantiles
 from eventloom.suite import QUERIES
 from tests.conftest import optimized, plan, rows
 
@@ -46,6 +47,39 @@ def test_quantiles_equal_numpy(spark, accuracy):
             assert row[name] == pytest.approx(np.quantile(values, probability), abs=1e-9), (group, name)
 
 
+@pytest.mark.parametrize("accuracy", [3, 10_000])
+def test_quantiles_of_hard_data(spark, accuracy):
+    """Nearly all values equal, values in order, and so few allowed in a row that ranges are cut again and again."""
+    data = [("same", 7.0)] * 4995 + [("same", float(v)) for v in (1, 2, 900, 901, 902)]
+    data += [("sorted", float(v)) for v in range(4000)] + [("steep", 2.0**v) for v in range(-500, 500)] + [(None, 1.0)] * 3
+    data += [("infinite", v) for v in (float("inf"), float("-inf"), 0.0)]
+    wanted = {"q0": 0.0, "q1": 0.0003, "q5": 0.5, "q9": 0.9995, "all": 1.0}
+    df = spark.createDataFrame(data, "g string, v double").repartition(4)
+    out = exact_quantiles(df, "v", wanted, by=["g"], accuracy=accuracy, small=10)
+    assert "Window" not in plan(out)
+    result = {r.g: r for r in out.collect()}
+    assert set(result) == {"same", "sorted", "steep", "infinite", None}
+    for group, row in result.items():
+        if group == "infinite":
+            assert row["q5"] == 0.0 and row["all"] == float("inf")
+            continue
+        values = [v for g, v in data if g == group]
+        for name, probability in wanted.items():
+            assert row[name] == pytest.approx(np.quantile(values, probability), rel=1e-12), (group, name)
+
+
+def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
+    bounds = quantiles._bounds
+
+    def wrong(*args):
+        shifted = F.transform("targets", lambda t: t.withField("low", t["low"] + 40).withField("high", t["high"] + 40))
+        return bounds(*args).withColumn("targets", shifted)
+
+    monkeypatch.setattr(quantiles, "_bounds", wrong)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    assert exact_quantiles(df, "v", {"low": 0.25, "median": 0.5}, small=20).first() == (249.75, 499.5)
+
+
 def test_quantiles_without_groups(spark):
     df = spark.range(1, 102).withColumnRenamed("id", "v")
     assert exact_quantiles(df, "v", {"median": 0.5}).first().median == 51.0
