@@ -11,6 +11,7 @@ from eventloom.fixtures import Tables
 from eventloom.operators.sessions import user_day_sessions
 from eventloom.plans import checkouts, pages, quality, reach, sales, traffic
 from eventloom.sources import (
+    folder_files,
     day_plan,
     convert,
     read_csv,
@@ -195,13 +196,17 @@ def file_counts(t: Tables) -> DataFrame:
 @query(
     "storage_summary",
     "",
-    """SELECT folder, n_files FROM (SELECT 'years' AS folder, count(DISTINCT year(l_shipdate)) AS n_files FROM lineitem) y
-UNION ALL SELECT 'total', count(DISTINCT year(l_shipdate)) FROM lineitem""",
+    """SELECT folder, n_files, true AS size_fits FROM (SELECT 'years' AS folder, count(DISTINCT year(l_shipdate)) AS n_files FROM lineitem) y
+UNION ALL SELECT 'total', count(DISTINCT year(l_shipdate)), true FROM lineitem""",
 )
 def storage_summary(t: Tables) -> DataFrame:
-    """Files per folder and over all; sizes depend on the writer and are only checked to be there."""
-    summary = quality.storage_summary(t.spark, [file_copy(t, "checkouts_by_year")]).where("size_mb >= 0")
-    return summary.select(F.when(F.col("folder") == "total", "total").otherwise("years").alias("folder"), "n_files")
+    """Files per folder and over all; sizes depend on the writer and are held against the files' own."""
+    years = file_copy(t, "checkouts_by_year")
+    summary = quality.storage_summary(t.spark, [years])
+    length = folder_files(t.spark, years).agg(F.sum("length").cast("double")).scalar()
+    mb, gb = F.round(length / quality.MEGABYTE, 1), F.round(length / (1024 * quality.MEGABYTE), 2)
+    fits = (length > 0) & (F.col("size_mb") == mb) & (F.col("size_gb") == gb)
+    return summary.select(F.when(F.col("folder") == "total", "total").otherwise("years").alias("folder"), "n_files", fits.alias("size_fits"))
 
 
 CODECS = ("snappy", "gzip", "zstd", "lz4", "none")

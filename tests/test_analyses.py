@@ -174,3 +174,15 @@ def test_category_rollup(spark):
 def test_mark(spark):
     result = mark({"a": lambda: spark.range(3), "b": lambda: spark.range(4)}, iterations=2, warmup=0)
     assert [r["name"] for r in result] == ["a", "b"] and all(r["min"] <= r["median"] <= r["max"] for r in result)
+
+
+def test_transactions_by_bitmap_equal_distinct_ones(spark):
+    data = [("c", f"p{i % 5}", i % 97, 1.0, 2, 3.0) for i in range(700)]
+    data += [(None, "p0", 40_000 + i % 3, 1.0, 1, 1.0) for i in range(20)] + [("c", "none", None, 1.0, 1, 1.0), ("c", None, 5, 1.0, 1, 1.0)]
+    data += [("c", "far", t, 1.0, 1, 1.0) for t in (0, 1, 32767, 32768, 32769, 10**15)]
+    items = spark.createDataFrame(
+        data, "item_category string, item_name string, event_timestamp long, price_in_usd double, quantity long, item_revenue_in_usd double"
+    )
+    plain = products.product_performance(items)
+    assert rows(products.product_performance(items, bitmaps=True)) == rows(plain)
+    assert {r.item_name: r.transactions for r in plain.where("item_category = 'c'").collect()}["far"] == 6
