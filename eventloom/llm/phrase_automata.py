@@ -47,12 +47,14 @@ _CODES = 0x10FFFF - 0xE000
 
 @dataclass(frozen=True)
 class Params:
-    """``block_chars`` bounds the passages one automaton serves and the phrases it holds, ``phrase_windows`` the length of
-    a phrase; neither changes the result."""
+    """``block_chars`` bounds the passages one automaton serves, ``part_chars`` the phrases it holds (about ten bytes of
+    memory a character), ``phrase_windows`` the length of a phrase; none changes the result. Every part of a block's
+    phrases reads the block's passages again, so parts are as large as a task's memory allows."""
 
     window: int = 35
     gram: int = 8
     block_chars: int = 3_000_000
+    part_chars: int = 24_000_000
     phrase_windows: int = 150
 
 
@@ -318,9 +320,9 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
     block = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(max(1, -(-chars // p.block_chars)))).alias("block")
     having = phrases.select("number", F.explode("anchors").alias("anchor"))
     asked = staged(hits.select("anchor", block).distinct().join(having, "anchor").select("block", "number").distinct(), "asked")
-    # the phrases of a block are dealt in parts as large as the passages of one, and each part meets these by itself
+    # the phrases of a block are dealt in parts of bounded size, and each part meets the block's passages by itself
     chars = asked.join(phrases.select("number", F.length("phrase").alias("chars")), "number").groupBy("block").agg(F.sum("chars").alias("chars"))
-    parts = chars.select("block", F.greatest(F.ceil(F.col("chars") / p.block_chars), F.lit(1)).cast("int").alias("parts"))
+    parts = chars.select("block", F.greatest(F.ceil(F.col("chars") / p.part_chars), F.lit(1)).cast("int").alias("parts"))
     parts = staged(parts, "phrase-parts", small=True)
     wanted = asked.join(phrases.select("number", "phrase"), "number").join(parts, "block").select(
         "block", F.pmod(F.xxhash64("number", F.lit(13)), F.col("parts")).cast("int").alias("part"), "phrase"

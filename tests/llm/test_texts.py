@@ -61,14 +61,14 @@ def test_phrases_of_a_block_are_dealt_in_parts(spark, monkeypatch):
 
         def bounded(passages, phrases):
             size = sum(len(x) for x in phrases.column("phrase").to_pylist())
-            assert size < 4 * p.block_chars, "a part holds too many phrases"
+            assert size < 4 * p.part_chars, "a part holds too many phrases"
             return run(passages, phrases)
 
         return bounded
 
     monkeypatch.setattr(phrase_automata, "_locate", watched)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    out = phrase_automata.without_repeats(df, p=phrase_automata.Params(block_chars=2000)).collect()
+    out = phrase_automata.without_repeats(df, p=phrase_automata.Params(block_chars=2000, part_chars=2000)).collect()
     want = dict(zip([d for d, _ in rows], brute.without_repeats([t for _, t in rows])))
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out} == want
 
