@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventloom.llm.columns import boxed, row_key, staged, unboxed
+from eventloom.llm.columns import boxed, discard, row_key, staged, unboxed
 from eventloom.llm.components import components
 from eventloom.llm.words import Words, gram_hashes, mix, range_hashes, signed, slices, split_words, unsigned
 
@@ -263,10 +263,17 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Par
     chosen = found.groupBy("group").agg(best).select(F.col("b.r").alias("chosen"))
     times = found.groupBy(F.col("row").alias("of")).agg(F.count("*").alias("times"))
     chosen = staged(chosen.join(times, F.col("chosen") == F.col("of")).select("chosen", "times"), "near-chosen")
-    kept = boxed(docs, place=row_key(text, key)).join(chosen, F.col("place") == F.col("chosen"))
-    # rows that agree in id and text are the only ones that must meet
-    copies = kept.where("times > 1").dropDuplicates(["place"])
-    return unboxed(kept.where("times = 1").unionByName(copies))
+    discard(*found.staged_tables)
+    rows = boxed(docs, place=row_key(text, key))
+    same = F.col("place") == F.col("chosen")
+    # most rows are kept, so this is no join to broadcast, whatever the size of the input
+    kept = rows.join(chosen.where("times = 1").hint("merge"), same, "left_semi")
+    # rows that agree in id and text are the only ones that must meet; their keys are a table of their own, so that
+    # Spark knows how few they are
+    repeated = staged(chosen.where("times > 1"), "near-repeated", small=True)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(rows.join(repeated, same, "left_semi").dropDuplicates(["place"]))
+    return unboxed(kept)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p: Params = Params()) -> DataFrame:
@@ -311,27 +318,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", p:
         "near-texts",
     )
     starred = _verified(_with_hubs(work, hubs, p), ["hub", "part"], p, "hub-links")
-    found = starred
+    found, rest = starred, []
     joined = components(starred, "a", "b").withColumnsRenamed({"node": "cls", "label": "joined"})
     label = F.coalesce("joined", "cls").alias("label")
     labelled = shared.join(joined, "cls", "left").select("band", "cls", label)
     ends = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
     open_bands = staged(labelled.join(ends.where("least < most").select("band"), "band"), "open-bands")
     if not open_bands.isEmpty():
-        rest = _verified(_in_pieces(work, open_bands, p), ["block", "lo", "hi"], p, "near-links")
-        found = starred.unionByName(rest)
+        rest = [_verified(_in_pieces(work, open_bands, p), ["block", "lo", "hi"], p, "near-links")]
+        found = starred.unionByName(*rest)
     labels = components(found, "a", "b")
+    discard(buckets, shared, work, open_bands, starred, *rest)
     named = first.select("cls", "first_key").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("label", F.coalesce("label", "cls"))
     lowest = named.groupBy("label").agg(F.min("first_key").alias("component_id"))
     classes = staged(named.join(lowest, "label").select("cls", "component_id", F.col("label").alias("group")), "near-classes")
+    discard(first, labels)
     # texts without words stay out of the join: they would all meet under one class
     linked = full.select("key", "n_shingles", "row", "cls").join(classes, "cls").drop("cls")
     alone = sketches.where("n_shingles = 0").select(
         "key", "n_shingles", "row", F.col("key").alias("component_id"), F.col("row").alias("group")
     )
-    return (
+    out = (
         linked.unionByName(alone)
         .withColumn("kept", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)))
         .withColumnRenamed("key", key)
     )
+    out.staged_tables = [sketches, classes]
+    return out
