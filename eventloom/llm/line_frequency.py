@@ -62,32 +62,39 @@ def drop_boilerplate(
     min_pages: int = 3,
     copies: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``text`` free of boilerplate lines, ``n_lines`` and ``n_boilerplate``, the number of lines dropped.
+    """``docs`` with ``text`` free of boilerplate lines, ``n_lines``, ``n_boilerplate``, the number of lines over the ratio,
+    ``n_dropped``, the number of lines that went, and the characters of all lines, ``line_chars``, and of those over the
+    ratio, ``boilerplate_chars``, which tell the pages that are mostly boilerplate.
 
     ``lines`` is an array column (default: the text split at line ends); what remains is joined by line ends. Lines are
     compared without white space at their ends; empty ones never count. A line must be on ``min_pages`` pages and on
     more than ``ratio`` of the site's pages; then it goes from all of them, whatever its share of a page. Without
     ``copies`` rows of a site with equal text count as one page, so that copies of a text do not make its lines
     boilerplate; with them repeated rows are pages of their own. NULL text stays NULL with 0 lines; rows without a site
-    form a site; an empty table stays empty. ``text`` keeps its place; columns named like the counts are replaced.
+    form a site; an empty table stays empty. Characters are those without white space at the ends of a line. ``text``
+    keeps its place; columns named like the counts are replaced.
     """
     if lines is None:
         lines = F.split(F.col(text), "\n")
     lines = F.coalesce(lines, F.array().cast("array<string>"))
     page = None if copies else _key(F.col(text))
     found = staged(boilerplate(docs, site, lines, ratio, min_pages, page), "boilerplate")
-    added = ("n_lines", "n_boilerplate")
+    added = ("n_lines", "n_boilerplate", "n_dropped", "line_chars", "boilerplate_chars")
     # the site may be a column that a caller replaces, so what is read is taken before the row is boxed
     rows = boxed(docs, text, *added, site=F.col(site), blank=F.col(text).isNull(), lines=lines)
     listed = F.coalesce(F.col("__keys"), F.array().cast("array<struct<a:bigint,b:int>>"))
     joined = rows.join(found, F.col("site").eqNullSafe(F.col("__site")), "left").withColumn("keys", listed)
-    kept = F.when(
-        F.size("keys") > 0, F.filter("lines", lambda x: ~F.array_contains(F.col("keys"), _key(_bare(x))))
-    ).otherwise(F.col("lines"))
+    over = F.filter("lines", lambda x: F.array_contains(F.col("keys"), _key(_bare(x))))
+    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("keys"), _key(_bare(x))))
+    some = F.size("keys") > 0
+    chars = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
     out = unboxed(
-        joined.withColumn("left", kept),
+        joined.withColumn("left", F.when(some, kept).otherwise(F.col("lines"))),
         F.when(~F.col("blank"), F.array_join("left", "\n")).alias(text),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("left")).cast("long").alias("n_boilerplate"),
+        F.when(some, F.size(over)).otherwise(0).cast("long").alias("n_boilerplate"),
+        (F.size("lines") - F.size("left")).cast("long").alias("n_dropped"),
+        chars(F.col("lines")).alias("line_chars"),
+        F.when(some, chars(over)).otherwise(F.lit(0).cast("long")).alias("boilerplate_chars"),
     )
     return out.select(*(column(c) for c in [*(c for c in docs.columns if c not in added), *added]))

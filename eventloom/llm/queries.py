@@ -64,9 +64,11 @@ boiler AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT page_id) AS n FRO
   JOIN total USING (host) WHERE n >= {PAGE_MIN} AND n > {PAGE_RATIO} * pages),
 j AS (SELECT l.*, b.k IS NOT NULL AS hit FROM l LEFT JOIN boiler b ON l.host = b.host AND l.k = b.k),
 d AS (SELECT page_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
+  sum(length(k)) AS line_chars, sum(length(k)) FILTER (hit) AS boilerplate_chars,
   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT hit), '') AS kept FROM j GROUP BY page_id)
 SELECT p.page_id, p.host, coalesce(n_lines, 0) AS n_lines, coalesce(n_boilerplate, 0) AS n_boilerplate,
-  sha256(coalesce(kept, '')) AS kept_sha256
+  coalesce(n_boilerplate, 0) AS n_dropped, CAST(coalesce(line_chars, 0) AS BIGINT) AS line_chars,
+  CAST(coalesce(boilerplate_chars, 0) AS BIGINT) AS boilerplate_chars, sha256(coalesce(kept, '')) AS kept_sha256
 FROM p LEFT JOIN d USING (page_id)"""
 )
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +76,9 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").withColumn("host", host_of(F.col("url")))
     out = drop_boilerplate(pages, "host", "html", page_lines(F.col("html")), PAGE_RATIO, PAGE_MIN)
     return out.select(
-        "page_id", "host", "n_lines", "n_boilerplate", F.sha2("html", 256).alias("kept_sha256")
-    )
+        "page_id", "host", "n_lines", "n_boilerplate", "n_dropped", "line_chars", "boilerplate_chars",
+        F.sha2("html", 256).alias("kept_sha256"),
+    )
 
 
 URL_RULES = (
