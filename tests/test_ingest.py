@@ -307,6 +307,20 @@ def test_compaction(spark, tmp_path):
     assert ids == sorted(ids)
 
 
+def test_very_small_files_are_packed_until_they_are_in_bounds(spark, tmp_path):
+    ingest = DailyIngest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), max_rows_per_file=8)
+    day_file(spark, ingest.raw, "20240101", range(2400))
+    day_file(spark, ingest.raw, "20240102", range(10))
+    ingest.run()
+    before = rows(ingest.table("events"))
+    bounds = Bounds(smallest=24 * 1024, largest=1024 * 1024)
+    assert ingest.compact(bounds)["events"] == ["20240101", "20240102"]
+    files = files_of(ingest.table("events"), "event_date")
+    assert misfits(files, bounds).where("too_large > 0 OR too_small > 0").collect() == []
+    assert rows(ingest.table("events")) == before and files.count() < 10
+    assert ingest.compact(bounds) == {"events": [], "params": [], "items": [], "reach": []}
+
+
 def test_users_of_a_period_without_its_events(spark, ingest):
     for day in ("20240101", "20240102", "20240103"):
         day_file(spark, ingest.raw, day, range(int(day[-2:]) * 100, int(day[-2:]) * 100 + 200), event="view")
