@@ -84,17 +84,23 @@ def drop_boilerplate(
     rows = boxed(docs, text, *added, site=F.col(site), blank=F.col(text).isNull(), lines=lines)
     listed = F.coalesce(F.col("__keys"), F.array().cast("array<struct<a:bigint,b:int>>"))
     joined = rows.join(found, F.col("site").eqNullSafe(F.col("__site")), "left").withColumn("keys", listed)
-    over = F.filter("lines", lambda x: F.array_contains(F.col("keys"), _key(_bare(x))))
-    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("keys"), _key(_bare(x))))
-    some = F.size("keys") > 0
+    hit = lambda x: F.array_contains(F.col("keys"), _key(_bare(x)))
+    some, none = F.size("keys") > 0, F.array().cast("array<string>")
     chars = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + F.length(_bare(x)))
+    # lambdas see the caller's names once the row is unboxed, so they are done before
+    parted = joined.withColumns(
+        {
+            "left": F.when(some, F.filter("lines", lambda x: ~hit(x))).otherwise(F.col("lines")),
+            "over": F.when(some, F.filter("lines", hit)).otherwise(none),
+        }
+    ).withColumns({"all_chars": chars(F.col("lines")), "over_chars": chars(F.col("over"))})
     out = unboxed(
-        joined.withColumn("left", F.when(some, kept).otherwise(F.col("lines"))),
+        parted,
         F.when(~F.col("blank"), F.array_join("left", "\n")).alias(text),
         F.size("lines").cast("long").alias("n_lines"),
-        F.when(some, F.size(over)).otherwise(0).cast("long").alias("n_boilerplate"),
+        F.size("over").cast("long").alias("n_boilerplate"),
         (F.size("lines") - F.size("left")).cast("long").alias("n_dropped"),
-        chars(F.col("lines")).alias("line_chars"),
-        F.when(some, chars(over)).otherwise(F.lit(0).cast("long")).alias("boilerplate_chars"),
+        F.col("all_chars").alias("line_chars"),
+        F.col("over_chars").alias("boilerplate_chars"),
     )
     return out.select(*(column(c) for c in [*(c for c in docs.columns if c not in added), *added]))
