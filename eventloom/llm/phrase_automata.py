@@ -4,15 +4,16 @@ A window is ``Params.window`` consecutive words. Two equal windows share the sam
 ``gram`` words), so
 
 1. every text reports its anchors, one for about every fourteen words, and anchors that occur once are dropped;
-2. texts are cut to the passages around shared anchors, and their windows are counted: those found twice are repeated;
+2. texts are cut to the passages around shared anchors, and these are dealt into blocks of bounded size; windows are
+   counted, block by block and then over all blocks: those found twice are repeated, and their blocks are known;
 3. each repeated window is taken from one of its places; neighbouring windows form phrases of bounded length;
-4. passages are dealt into blocks of bounded size, and each block gets the phrases that have an anchor it holds, in
-   parts of bounded size that are tasks of their own. A part's automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase
+4. each block gets the phrases that have a repeated window it holds, in parts of bounded size that are tasks of their own. A part's automaton holds pieces of its phrases, half a window long, at every half window: any window of a phrase
    contains a whole piece. All passages of the block stream through it, and a hit is extended as far as phrase and text
    agree; where that is a window or more, all of it is repeated;
 5. the words found are removed from the whole texts.
 
-Work grows with the text, not with the square of anything: a phrase goes to the blocks that hold its anchor only.
+Work grows with the text, not with the square of anything: a phrase goes to the blocks that hold a window of it (or of
+a phrase that stands within ``phrase_windows`` words of it), however many others share its anchors.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ from eventloom.llm.words import (
 #: A place is the upper bits of a row key and the number of a word; no text that fits a row has more words.
 _WORD_BITS = 28
 _ROW_MASK = -(1 << _WORD_BITS)
+#: Rows of a batch that a task hands over.
+_ROWS = 100_000
 #: Code points an automaton may use for words, without the surrogates.
 _CODES = 0x10FFFF - 0xE000
 
@@ -126,23 +129,59 @@ def _places(row: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _windows(p: Params):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    """The different windows of a block, each with its least place there and whether it has several."""
+
+    def run(passages: pa.Table) -> pa.Table:
+        hashes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in passages.to_batches():
             for part in slices(batch, "text"):
                 words = split_words(part.column("text"))
                 start = gram_starts(words, p.window)
                 owner = words.text_of[start]
                 at = part.column("at").to_numpy()[owner] + start - words.first[owner]
-                place = _places(part.column("row").to_numpy()[owner], at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(gram_hashes(words.hash, p.window)[start])), pa.array(place)], ["hash", "place"]
-                )
+                places.append(_places(part.column("row").to_numpy()[owner], at))
+                hashes.append(signed(gram_hashes(words.hash, p.window)[start]))
+        hashes, places = np.concatenate(hashes), np.concatenate(places)
+        order, first = _grouped(hashes)
+        least = np.minimum.reduceat(places[order], first) if len(first) else places
+        block = pa.array(np.repeat(passages.column("block")[:1].to_numpy(), len(first)), pa.int64())
+        several = np.diff(np.append(first, len(order))) > 1
+        return pa.table({"hash": pa.array(hashes[order[first]]), "place": pa.array(least), "several": pa.array(several), "block": block})
 
     return run
 
 
+def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal hashes together, and where in it each hash begins."""
+    order = np.argsort(hashes)
+    inside = hashes[order]
+    return order, np.flatnonzero(np.append(True, inside[1:] != inside[:-1])[: len(inside)])
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows with several places, from all rows of their hashes: the least place and the blocks."""
+    seen = list(batches)
+    hashes, places, several, blocks = (
+        np.concatenate([np.zeros(0, kind), *(b.column(c).to_numpy(zero_copy_only=False) for b in seen)])
+        for c, kind in (("hash", np.int64), ("place", np.int64), ("several", bool), ("block", np.int64))
+    )
+    del seen
+    order, first = _grouped(hashes)
+    if not len(first):
+        return
+    size = np.diff(np.append(first, len(order)))
+    kept = (size > 1) | np.logical_or.reduceat(several[order], first)
+    least = np.minimum.reduceat(places[order], first)[kept]
+    hashes, blocks, size = hashes[order[first]][kept], blocks[order][np.repeat(kept, size)], size[kept]
+    edges = np.append(0, np.cumsum(size))
+    for a in range(0, len(size), _ROWS):
+        b = min(a + _ROWS, len(size))
+        lists = pa.ListArray.from_arrays(pa.array((edges[a : b + 1] - edges[a]).astype(np.int32)), pa.array(blocks[edges[a] : edges[b]]))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[a:b]), pa.array(least[a:b]), lists], ["hash", "place", "blocks"])
+
+
 def _phrases(p: Params):
-    """Runs of repeated windows, from the passages that are their chosen places, with the anchors they have."""
+    """Runs of repeated windows, from the passages that are their chosen places, with the blocks that hold some of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +189,8 @@ def _phrases(p: Params):
                 words = split_words(part.column("text"))
                 hashes = signed(gram_hashes(words.hash, p.window))
                 chosen = np.zeros(len(words) + 1, bool)
-                at, places = part.column("at").to_numpy(), part.column("places")
+                at, places, held = part.column("at").to_numpy(), part.column("places"), part.column("held")
+                blocks, texts = [], []
                 for i in range(part.num_rows):
                     flat = places[i].values
                     local = (flat.field("place").to_numpy() & ~_ROW_MASK) - at[i]
@@ -159,22 +199,24 @@ def _phrases(p: Params):
                     # another row may share the upper bits of the key; its windows are not here
                     local = local[hashes[local] == flat.field("hash").to_numpy()[inside]]
                     chosen[local] = True
-                _, start, count, anchor = anchored(words, p)
-                anchor_of = np.zeros(len(words), np.uint64)
-                anchor_of[np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)] = (
-                    np.repeat(anchor, count)
-                )
-                # windows of two texts never neighbour each other: a text's last words start none
-                edges = np.flatnonzero(np.diff(chosen.astype(np.int8), prepend=0)).tolist()
-                anchors, texts = [], []
-                for begin, end in zip(edges[::2], edges[1::2], strict=True):
-                    for a in range(begin, end, p.phrase_windows):
-                        b = min(end, a + p.phrase_windows)
-                        anchors.append(signed(np.unique(anchor_of[a:b])))
-                        texts.append(words.joined(np.arange(a, b - 1 + p.window)))
+                    # windows of two texts never neighbour each other: a text's last words start none
+                    base = int(words.first[i])
+                    edges = (np.flatnonzero(np.diff(chosen[base : base + words.counts[i] + 1].astype(np.int8), prepend=0)) + base).tolist()
+                    cells = held[i].values.field("cell").to_numpy() & ~_ROW_MASK
+                    order = np.argsort(cells, kind="stable")
+                    cells, own = cells[order], held[i].values.field("block").to_numpy()[order]
+                    shift = int(at[i]) - base
+                    for begin, end in zip(edges[::2], edges[1::2], strict=True):
+                        while begin < end:
+                            cell = (begin + shift) // p.phrase_windows
+                            to = min(end, (cell + 1) * p.phrase_windows - shift)
+                            low, high = np.searchsorted(cells, [cell, cell + 1])
+                            blocks.append(own[low:high])
+                            texts.append(words.joined(np.arange(begin, to - 1 + p.window)))
+                            begin = to
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchors, pa.list_(pa.int64())), pa.array(texts, pa.binary()).cast(pa.string())],
-                    ["anchors", "phrase"],
+                    [pa.array(blocks, pa.list_(pa.int64())), pa.array(texts, pa.binary()).cast(pa.string())],
+                    ["blocks", "phrase"],
                 )
 
     return run
@@ -300,34 +342,38 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
         .mapInArrow(_cut(p), "row bigint, at int, text string"),
         "passages",
     )
-    counted = passages.mapInArrow(_windows(p), "hash bigint, place bigint").groupBy("hash").agg(
-        F.count("*").alias("n"), F.min("place").alias("place")
-    )
-    places = (
-        counted.where("n > 1")
-        .groupBy(F.col("place").bitwiseAND(F.lit(_ROW_MASK).cast("long")).alias("__key"))
-        .agg(F.collect_list(F.struct("place", "hash")).alias("places"))
+    discard(hits)
+    chars = passages.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // p.block_chars))
+    dealt = passages.withColumn("block", F.pmod(F.xxhash64("row", F.lit(11)), F.lit(blocks)))
+    windows = dealt.groupBy("block").applyInArrow(_windows(p), "hash bigint, place bigint, several boolean, block bigint")
+    # as many partitions as blocks, so that the windows of one are bounded too; a window has a row for each block at most
+    windows = staged(windows.repartition(blocks, "hash").mapInArrow(_repeated, "hash bigint, place bigint, blocks array<bigint>"), "repeated-windows")
+    mask = F.lit(_ROW_MASK).cast("long")
+    places = windows.groupBy(F.col("place").bitwiseAND(mask).alias("__key")).agg(F.collect_list(F.struct("place", "hash")).alias("places"))
+    # a cell is ``phrase_windows`` places of a row; a phrase lies in one
+    cell = F.expr(f"(place & {_ROW_MASK}L) | ((place & {~_ROW_MASK}L) div {p.phrase_windows})").alias("cell")
+    held = windows.select(cell, F.explode("blocks").alias("block")).distinct().groupBy(F.col("cell").bitwiseAND(mask).alias("__of")).agg(
+        F.collect_list(F.struct("cell", "block")).alias("held")
     )
     phrases = staged(
-        passages.withColumn("__part", F.col("row").bitwiseAND(F.lit(_ROW_MASK).cast("long")))
+        passages.withColumn("__part", F.col("row").bitwiseAND(mask))
         .join(places, F.col("__part") == F.col("__key"))
-        .select("at", "text", "places")
-        .mapInArrow(_phrases(p), "anchors array<bigint>, phrase string")
-        .withColumn("number", F.xxhash64("phrase")),
+        .join(held, F.col("__part") == F.col("__of"))
+        .select("at", "text", "places", "held")
+        .mapInArrow(_phrases(p), "blocks array<bigint>, phrase string"),
         "phrases",
     )
-    chars = passages.agg(F.sum(F.length("text"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(max(1, -(-chars // p.block_chars)))).alias("block")
-    having = phrases.select("number", F.explode("anchors").alias("anchor"))
-    asked = staged(hits.select("anchor", block).distinct().join(having, "anchor").select("block", "number").distinct(), "asked")
+    discard(windows)
+    wanted = phrases.select(F.explode("blocks").alias("block"), "phrase")
     # the phrases of a block are dealt in parts of bounded size, and each part meets the block's passages by itself
-    chars = asked.join(phrases.select("number", F.length("phrase").alias("chars")), "number").groupBy("block").agg(F.sum("chars").alias("chars"))
+    chars = wanted.groupBy("block").agg(F.sum(F.length("phrase")).alias("chars"))
     parts = chars.select("block", F.greatest(F.ceil(F.col("chars") / p.part_chars), F.lit(1)).cast("int").alias("parts"))
     parts = staged(parts, "phrase-parts", small=True)
-    wanted = asked.join(phrases.select("number", "phrase"), "number").join(parts, "block").select(
-        "block", F.pmod(F.xxhash64("number", F.lit(13)), F.col("parts")).cast("int").alias("part"), "phrase"
+    wanted = wanted.join(parts, "block").select(
+        "block", F.pmod(F.xxhash64("phrase", F.lit(13)), F.col("parts")).cast("int").alias("part"), "phrase"
     )
-    dealt = passages.select(block, "row", "at", "text").join(parts, "block").select(
+    dealt = dealt.join(parts, "block").select(
         "block", "row", "at", "text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
     found = staged(
@@ -336,7 +382,7 @@ def repeated_spans(docs: DataFrame, text: str, key: str, p: Params = Params()) -
         .applyInArrow(_locate(p), "row bigint, at int, to int"),
         "repeated",
     )
-    discard(hits, passages, phrases, asked, parts)
+    discard(passages, phrases, parts)
     return found.groupBy("row").agg(F.collect_set(F.struct("at", "to")).alias("spans"))
 
 

@@ -73,6 +73,32 @@ def test_phrases_of_a_block_are_dealt_in_parts(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out} == want
 
 
+def test_a_phrase_goes_to_the_blocks_that_hold_a_window_of_it(spark, monkeypatch):
+    """Pairs of texts around one passage too short to be a window: each phrase has its grams, two texts have its windows."""
+    common = " ".join(f"com{i}" for i in range(20))
+    rows = []
+    for k in range(60):
+        text = f"{prose(25, 2000 + k)} {common} {prose(25, 3000 + k)}"
+        rows += [(2 * k, text + " x"), (2 * k + 1, "y " + text)]
+
+    def counted(p):
+        def run(passages, phrases):
+            n = pa.array([phrases.num_rows], pa.int32())
+            return pa.table({"row": passages.column("row").combine_chunks()[:1], "at": n, "to": n})
+
+        return run
+
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    p = phrase_automata.Params(block_chars=2000)
+    out = phrase_automata.without_repeats(df, p=p).collect()
+    want = dict(zip([d for d, _ in rows], brute.without_repeats([t for _, t in rows])))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out} == want
+    monkeypatch.setattr(phrase_automata, "_locate", counted)
+    sent = sum(r["spans"][0]["at"] for r in phrase_automata.repeated_spans(df, "text", "doc_id", p).collect())
+    # a phrase is at most two pieces, and a piece is in two texts
+    assert 60 <= sent <= 60 * 2 * 2
+
+
 def test_substring_dedup_of_test_documents_and_of_none(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = df.collect()
