@@ -321,6 +321,22 @@ def test_very_small_files_are_packed_until_they_are_in_bounds(spark, tmp_path):
     assert ingest.compact(bounds) == {"events": [], "params": [], "items": [], "reach": []}
 
 
+def test_very_small_files_are_looked_at_in_few_tasks(spark, tmp_path):
+    most = 8 * spark.sparkContext.defaultParallelism
+    path, usual = str(tmp_path / "p"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(most + 60).withColumn("day", F.lit("a")).coalesce(1).write.option("maxRecordsPerFile", 1).partitionBy("day").parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # what Spark takes each file for
+    spark.sparkContext.setJobGroup("few-tasks", "")
+    try:
+        assert len(files_of(spark.read.parquet(path), "day").collect()) == most + 60
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    seen = spark.sparkContext.statusTracker()
+    infos = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup("few-tasks") for s in seen.getJobInfo(j).stageIds]
+    assert 0 < max(i.numTasks for i in infos if i) <= most
+
+
 def test_users_of_a_period_without_its_events(spark, ingest):
     for day in ("20240101", "20240102", "20240103"):
         day_file(spark, ingest.raw, day, range(int(day[-2:]) * 100, int(day[-2:]) * 100 + 200), event="view")
